@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load():
-    from . import aggregates, joins, registry, rows, tables  # noqa: F401
+    from . import aggregates, joins, quality, registry, rows, scalars, tables  # noqa: F401
 
     return registry
 

@@ -270,6 +270,3 @@ def _(b):
 @check("ST3_distinct_rows", "SELECT DISTINCT customer_state, customer_city FROM s_customers")
 def _(b):
     return rows.distinct_rows(b.customers, ["customer_state", "customer_city"])
-
-
-__all__ = ["AGREE"]

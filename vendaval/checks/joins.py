@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, joins, rows
-from ..streaming.changes import ENTITY_KEYS
-from .oracle import dbl, half_up, mean, txt
+from ..operators import aggregates, joins
+from .oracle import dbl, txt
 from .registry import check
 
 
@@ -144,7 +143,7 @@ def _(b):
 
 
 @check("J15_join_geo", f"""
-    SELECT c.customer_id, c.customer_zip_code, g.pontos
+    SELECT c.customer_id, c.customer_zip_code, CAST(g.pontos AS BIGINT) AS pontos
     FROM s_customers c LEFT JOIN (SELECT geolocation_zip_code_prefix AS z, SUM(num_registros) AS pontos,
         SUM(geolocation_lat * num_registros) AS w FROM s_geolocation GROUP BY 1) g ON c.customer_zip_code = g.z""")
 def _(b):
@@ -173,6 +172,3 @@ def _(b):
 def _(b):
     dear = b.items.where(F.col("price") > 100000)
     return joins.semi_join_in(b.orders.select("order_id", "customer_id"), dear, "order_id")
-
-
-__all__ = ["ENTITY_KEYS", "half_up", "mean", "rows"]

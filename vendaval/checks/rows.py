@@ -11,7 +11,6 @@ from ..sources import documents, files
 from .bound import STAMP
 from .oracle import dbl, txt
 from .registry import check
-from .tables import LINES
 
 
 # ---- sources and sinks: written to the shared folder and read back ---------------------------------------------------
@@ -27,18 +26,17 @@ def _(b):
 
 
 @check("IO1_read_csv_embedded_quotes", f"""
-    SELECT 'r' || {txt('doc_id')} AS review_id, text AS review_comment_message FROM documents
-    WHERE text <> '' AND text = trim(text)""")
+    SELECT 'r' || {txt('doc_id')} AS review_id, text AS review_comment_message FROM documents""")
 def _(b):
     path = scratch_path(b.spark, "csv")
-    docs = b.table("documents").where("text <> '' AND text = trim(text)")
-    raw = docs.select(
+    raw = b.table("documents").select(
         F.concat(F.lit("r"), F.col("doc_id").cast("string")).alias("review_id"), F.lit("o").alias("order_id"),
-        F.lit(5).alias("review_score"), F.lit("a ""quoted"" title, with comma").alias("review_comment_title"),
+        F.lit(5).alias("review_score"), F.lit('a "quoted" title, with comma').alias("review_comment_title"),
         F.col("text").alias("review_comment_message"), F.lit(STAMP).alias("review_creation_date"),
         F.lit(STAMP).alias("review_answer_timestamp"),
     )
-    raw.write.options(header="true", quote='"', escape='"', quoteAll="true").csv(path)
+    exact = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "quoteAll": "true"}
+    raw.write.options(header="true", quote='"', escape='"', **exact).csv(path)
     return files.read_entity_csv(b.spark, path, "reviews").select("review_id", "review_comment_message")
 
 
@@ -315,6 +313,3 @@ def _(b):
     UNION ALL SELECT 'o_orderpriority', 'string', COUNT(o_orderpriority) FROM orders""")
 def _(b):
     return rows.type_report(b.table("orders"), ["o_orderkey", "o_totalprice", "o_orderpriority"])
-
-
-__all__ = ["LINES"]

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..plans import bronze, gold, requirements, silver
+from ..plans import bronze, gold, requirements
 from .bound import AS_OF, STAMP
 from .oracle import AS_OF as AS_OF_SQL
-from .oracle import NORTE, REGION, SALES, SCALE5, TIER, dbl, half_up, mean, pct, pct_where, ratio, txt
+from .oracle import REGION, SALES, SCALE5, TIER, dbl, half_up, mean, pct_where, txt
 from .registry import check
 
 _ORDER_TIMES = (
@@ -459,6 +459,3 @@ def _(b):
           FROM s_items i JOIN s_orders o ON i.order_id = o.order_id) GROUP BY 1""")
 def _(b):
     return requirements.produtos_90d(b.orders, b.items, AS_OF)
-
-
-__all__ = ["CAUSE_SQL", "FACT_SQL", "FEATURES_SQL", "LINES", "NORTE", "PLACES", "pct", "ratio", "silver"]
