@@ -4,7 +4,19 @@ from __future__ import annotations
 
 
 def _load():
-    from . import aggregates, joins, quality, registry, rows, scalars, tables  # noqa: F401
+    from . import (  # noqa: F401
+        aggregates,
+        joins,
+        models,
+        quality,
+        registry,
+        reports,
+        rows,
+        scalars,
+        streams,
+        tables,
+        versions,
+    )
 
     return registry
 

@@ -58,6 +58,10 @@ class Bound:
     def path(self, table: str) -> str:
         return f"{self.folder}/{table}.parquet"
 
+    def stream_path(self, table: str) -> str:
+        """The same table as a pattern: a file stream takes a folder or a pattern, and the table may be one file."""
+        return f"{self.folder}/{table[:-1]}[{table[-1]}].parquet"
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.path(name))
 

@@ -294,9 +294,9 @@ def _(b):
     return governance.row_filter(b.customers, "customer_state", ["admins"])
 
 
-@check("GV4_row_filter_by_grant", "SELECT * FROM s_customers WHERE customer_state IN (SELECT seller_state FROM s_sellers)")
+@check("GV4_row_filter_by_grant", "SELECT * FROM s_customers WHERE customer_state IN (SELECT seller_state FROM s_sellers WHERE seller_city = 'city 3')")
 def _(b):
-    grants = b.sellers.select(F.lit("ana").alias("user"), F.col("seller_state").alias("value"))
+    grants = b.sellers.where("seller_city = 'city 3'").select(F.lit("ana").alias("user"), F.col("seller_state").alias("value"))
     return governance.row_filter_by_grant(b.customers, "customer_state", grants, "ana")
 
 

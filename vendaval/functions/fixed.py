@@ -127,11 +127,11 @@ PII_NAME_PATTERNS = {
 # Patterns of personal data in values, in the syntax Java and RE2 share.
 PII_VALUE_PATTERNS = {
     "EMAIL": "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+[.][A-Za-z0-9.-]+",
-    "TELEFONE": "[+]?[0-9]{2,3}[ -][0-9]{3,5}[ -][0-9]{4}",
+    "TELEFONE": "([(][0-9]{2,3}[)] ?|[0-9]{2,3}[ -])[0-9]{3,5}[ -][0-9]{4}",
     "DOCUMENTO": "[0-9]{3}[.][0-9]{3}[.][0-9]{3}-[0-9]{2}",
     "CEP": "[0-9]{5}-[0-9]{3}",
     "COORDENADA_GPS": "-?[0-9]{1,2}[.][0-9]{4,}, ?-?[0-9]{1,3}[.][0-9]{4,}",
-    "CARTAO": "[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}",
+    "CARTAO": "[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}",
 }
 
 # Columns a junior analyst may not see, per table.

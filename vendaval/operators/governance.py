@@ -40,7 +40,7 @@ def pii_scan_names(df: DataFrame) -> DataFrame:
     cells = [F.struct(F.lit(c).alias("coluna"), F.col(c).alias("present")) for c in df.columns]
     rules = [F.struct(F.lit(k).alias("categoria"), F.lit(p).alias("pattern")) for k, p in fixed.PII_NAME_PATTERNS.items()]
     named = counts.select(F.inline(F.array(*cells))).select("coluna", "present", F.inline(F.array(*rules)))
-    return named.where(F.lower("coluna").rlike(F.col("pattern"))).drop("pattern")
+    return named.where(F.rlike(F.lower("coluna"), F.col("pattern"))).drop("pattern")
 
 
 def pii_classify(scan: DataFrame, least_rate: float = 0.0) -> DataFrame:

@@ -21,7 +21,10 @@ def stream_json_source(
 def stream_table_source(
     spark: SparkSession, path: str, schema: StructType | None = None, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """A parquet table read as a stream. Without a schema, the one its files declare is taken once, up front."""
+    """A parquet table read as a stream. Without a schema, the one its files declare is taken once, up front.
+
+    ``path`` is a folder, or a pattern; name a table that is a single file by a pattern.
+    """
     reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
