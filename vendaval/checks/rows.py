@@ -140,10 +140,7 @@ def _(b):
 @check("IO11_create_table_as", "SELECT *, '2024-06-01 12:00:00' AS _ingestao_ts FROM nation")
 def _(b):
     name = "vendaval_nation_copy"
-    path = scratch_path(b.spark, name)
-    stamped = b.table("nation").withColumn("_ingestao_ts", F.lit(STAMP))
-    b.spark.sql(f"DROP TABLE IF EXISTS {name}")
-    stamped.write.option("path", path).mode("overwrite").saveAsTable(name)
+    files.create_table_as(b.table("nation"), name, STAMP, scratch_path(b.spark, name))
     return files.read_table(b.spark, name)
 
 

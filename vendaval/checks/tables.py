@@ -57,6 +57,11 @@ def _(b):
     return _flat_lines(bronze.order_lines(b.documents))
 
 
+@check("B1_bronze_order_lines_repeated_orders", LINES)
+def _(b):
+    return _flat_lines(bronze.order_lines(b.documents, repeated=True))
+
+
 # A line is unique up to rows equal in every column, so the winner of (order, item) is the largest row.
 @check("B2_bronze_clean_order_lines", f"""
     SELECT order_id, order_item_id, product_id, seller_id, order_status, price, freight_value, review_score,

@@ -134,6 +134,9 @@ PII_VALUE_PATTERNS = {
     "CARTAO": "[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}",
 }
 
+# A character every match of the pattern holds.
+PII_VALUE_SIGNS = {"EMAIL": "@", "CEP": "-", "DOCUMENTO": "-", "COORDENADA_GPS": ","}
+
 # Columns a junior analyst may not see, per table.
 JUNIOR_HIDDEN = {
     "customers": ["customer_id", "customer_unique_id"],

@@ -30,6 +30,24 @@ def order_payment_totals(payments: DataFrame) -> DataFrame:
     )
 
 
+def with_document_totals(documents: DataFrame) -> DataFrame:
+    """The same four figures from the ``payments`` array of each document, without a shuffle or a join.
+
+    For feeds with one document per order. As in the grouped form, missing values are skipped and an order without
+    payments counts one empty payment row.
+    """
+    payments = F.coalesce("payments", F.array().cast(documents.schema["payments"].dataType))
+    values = F.filter(F.transform(payments, lambda p: p["value"]), lambda v: v.isNotNull())
+    kinds = F.filter(F.transform(payments, lambda p: p["type"]), lambda k: k.isNotNull())
+    total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+    return documents.withColumns({
+        "total_order_value": F.when(F.size(values) > 0, total),
+        "payment_types": F.sort_array(kinds),
+        "max_installments": F.array_max(F.transform(payments, lambda p: p["installments"])),
+        "num_payment_methods": F.greatest(F.size(payments), F.lit(1)).cast("bigint"),
+    })
+
+
 def payment_summary(payments: DataFrame) -> DataFrame:
     """One row per order. The main method is the one with the lowest sequence number."""
     first = F.struct("payment_sequential", "payment_type")

@@ -80,7 +80,8 @@ def drift(baseline: DataFrame, current: DataFrame, columns: Sequence[str], floor
     cur = _frequencies(current, columns, "c").withColumn("b", F.lit(0).cast("bigint"))
     pairs = base.unionByName(cur).groupBy("column_name", "value").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
     totals = pairs.groupBy("column_name").agg(F.sum("b").alias("bt"), F.sum("c").alias("ct"))
-    joined = pairs.join(totals, "column_name")
+    # One row per listed column, so the totals are small whatever the data.
+    joined = pairs.join(F.broadcast(totals), "column_name")
     p = F.greatest(F.col("c") / F.col("ct"), F.lit(floor))
     q = F.greatest(F.col("b") / F.col("bt"), F.lit(floor))
     shares = joined.select("column_name", "b", "c", "bt", "ct", p.alias("p"), q.alias("q"))

@@ -42,7 +42,8 @@ def surrogate_key(df: DataFrame, order: Sequence[str], name: str, start: int = 1
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    numbered = placed.join(offsets, "_part").withColumn(name, F.col("_offset") + F.col("_pos") + start)
+    # One row per partition: bounded by the number of shuffle partitions.
+    numbered = placed.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_offset") + F.col("_pos") + start)
     return numbered.select(name, *df.columns)
 
 

@@ -24,11 +24,25 @@ def delivery_metrics(df: DataFrame, delivered: str, promised: str, purchased: st
     })
 
 
-def order_lines(documents: DataFrame, ts: datetime | Column | None = None, source: str | None = None) -> DataFrame:
-    """One row per order and item, with payment totals, review and delivery figures."""
-    totals = aggregates.order_payment_totals(rows.explode_payments(documents))
-    flat = rows.flatten_order(documents, keep=["items", "review"])
-    lines = rows.extract_review(joins.join_order_totals(rows.explode_items(flat), totals))
+TOTALS = ["total_order_value", "payment_types", "max_installments", "num_payment_methods"]
+
+
+def order_lines(
+    documents: DataFrame, ts: datetime | Column | None = None, source: str | None = None, repeated: bool = False
+) -> DataFrame:
+    """One row per order and item, with payment totals, review and delivery figures.
+
+    Totals come from the payments inside each document, so the whole step is narrow. ``repeated`` is for feeds that
+    hold an order in several documents: totals are then summed per order and joined back.
+    """
+    if repeated:
+        totals = aggregates.order_payment_totals(rows.explode_payments(documents))
+        flat = rows.flatten_order(documents, keep=["items", "review"])
+        lines = joins.join_order_totals(rows.explode_items(flat), totals)
+    else:
+        held = aggregates.with_document_totals(documents)
+        lines = rows.explode_items(rows.flatten_order(held, keep=["items", *TOTALS, "review"]))
+    lines = rows.extract_review(lines)
     out = delivery_metrics(lines, "delivered_customer_ts", "estimated_delivery_ts", "purchase_ts", "purchase_date")
     if ts is None:
         return out

@@ -9,7 +9,7 @@ from datetime import datetime
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, ladders
 from ..functions import scalars as S
+from ..operators.windows import share_of_total
+from ..session import cut_lineage
 
 INPUTS = [*fixed.MODEL_NUMERIC, *[f"{c}_idx" for c in fixed.MODEL_STATES]]
 
@@ -118,17 +120,22 @@ def class_metrics(predictions: DataFrame, label: str = "label", predicted: str =
 
 
 def evaluate(predictions: DataFrame) -> dict[str, float]:
-    """Ranking and class metrics of transformed rows. Runs the evaluation jobs."""
+    """Ranking and class metrics of transformed rows. Runs the evaluation jobs.
+
+    The rows are written once with the few columns the metrics read, so the model is applied a single time.
+    """
+    scored = cut_lineage(predictions.select("label", "rawPrediction", F.col("prediction").cast("int").alias("said")))
     ranked = BinaryClassificationEvaluator(labelCol="label")
-    classed = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction")
     out = {
-        name: ranked.evaluate(predictions, {ranked.metricName: metric})
+        name: ranked.evaluate(scored, {ranked.metricName: metric})
         for name, metric in (("auc_roc", "areaUnderROC"), ("auc_pr", "areaUnderPR"))
     }
-    for name, metric in (
-        ("accuracy", "accuracy"), ("precision", "weightedPrecision"), ("recall", "weightedRecall"), ("f1", "f1"),
+    classed = class_metrics(scored, predicted="said").first()
+    for name, column in (
+        ("accuracy", "accuracy"), ("precision", "weighted_precision"), ("recall", "weighted_recall"),
+        ("f1", "weighted_f1"),
     ):
-        out[name] = classed.evaluate(predictions, {classed.metricName: metric})
+        out[name] = classed[column]
     return out
 
 
@@ -140,7 +147,11 @@ def coef_importance(model: PipelineModel, like: DataFrame) -> DataFrame:
 
 
 def run_experiments(train: DataFrame, test: DataFrame) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Fit every configuration and tabulate its held-out metrics, one row per configuration."""
+    """Fit every configuration and tabulate its held-out metrics, one row per configuration.
+
+    Both sides are written once; every configuration then reads the same materialised rows.
+    """
+    train, test = cut_lineage(train, "train"), cut_lineage(test, "test")
     models, table = {}, []
     for name, reg, iterations, net, weighted in fixed.MODEL_RUNS:
         model = train_lr(train, reg, iterations, net, weighted)
@@ -169,8 +180,6 @@ def select_best(runs: DataFrame, key: str = "run", metrics: tuple[str, ...] = ("
 
 def risk_band_analysis(predictions: DataFrame) -> DataFrame:
     """Size, share, real late rate, mean probability and mean ticket per risk band."""
-    from ..operators.windows import share_of_total
-
     late = F.col("label") == 1
     grouped = predictions.groupBy("risco_atraso").agg(
         F.count(F.lit(1)).alias("total_pedidos"),

@@ -81,9 +81,11 @@ def stack_with_schema_merge(older: DataFrame, newer: DataFrame) -> DataFrame:
     return older.unionByName(newer, allowMissingColumns=True)
 
 
-def create_table_as(df: DataFrame, name: str, ts: datetime | None = None) -> None:
+def create_table_as(df: DataFrame, name: str, ts: datetime | None = None, path: str | None = None) -> None:
+    """Catalog table from a query, stamped with the ingest time. ``path`` makes it external."""
     out = df if ts is None else df.withColumn("_ingestao_ts", F.lit(ts).cast("timestamp"))
-    out.write.mode("overwrite").saveAsTable(name)
+    writer = out.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def export_clustered(df: DataFrame, path: str, dist_key: str, sort_key: str, parts: int | None = None) -> None:
