@@ -128,8 +128,8 @@ PII_NAME_PATTERNS = {
 PII_VALUE_PATTERNS = {
     "EMAIL": "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+[.][A-Za-z0-9.-]+",
     "TELEFONE": "([(][0-9]{2,3}[)] ?|[0-9]{2,3}[ -])[0-9]{3,5}[ -][0-9]{4}",
-    "DOCUMENTO": "[0-9]{3}[.][0-9]{3}[.][0-9]{3}-[0-9]{2}",
-    "CEP": "[0-9]{5}-[0-9]{3}",
+    "DOCUMENTO": r"\b[0-9]{3}[.][0-9]{3}[.][0-9]{3}-[0-9]{2}\b",
+    "CEP": r"\b[0-9]{5}-[0-9]{3}\b",
     "COORDENADA_GPS": "-?[0-9]{1,2}[.][0-9]{4,}, ?-?[0-9]{1,3}[.][0-9]{4,}",
     "CARTAO": "[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}",
 }
