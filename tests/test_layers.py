@@ -105,8 +105,9 @@ def test_category_falls_back_to_the_key(frame, rows_of):
     assert (got["b"].porte_produto, got["b"].product_volume_cm3) == ("grande", None)
 
 
-def test_rules_drop_warn_fail(frame):
-    df = frame("id string, n int", ("a", 1), ("b", None), (None, 50))
+def test_rules_drop_warn_fail(spark):
+    apart = spark.newSession()  # observations and model training do not share a session
+    df = apart.createDataFrame([("a", 1), ("b", None), (None, 50)], "id string, n int")
     watch = Observation()
     rules = quality.RuleSet(drop={"id": "id IS NOT NULL"}, warn={"small": "n < 10"})
     assert quality.apply_rules(df, rules, watch).count() == 2

@@ -23,7 +23,7 @@ def plan(df) -> str:
 
 JOINING = [
     n for n in callables()
-    if re.match(r"(J(?!10)|SV1|GD(?!2)|GF|RP1|US5|DQ7|DQ12|DQ14|GV4|TM1|TM5_diff|TX4|TX5|IO9|B1)", n)
+    if re.match(r"(J(?!10)|SV1[01]|GD[345]|GF|RP17|US5|DQ12|TM1_upsert$|TX5|IO9)", n)
 ]
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..operators import governance, profiles, quality
 from ..plans import gold, silver
+from .bound import Bound
 from .oracle import NORTE, dbl, half_up, mean, pct, pct_where
 from .registry import check
 
@@ -31,11 +32,12 @@ def _(b):
 def _(b):
     watch = Observation("orders_warn")
     rules = silver.RULES["orders"].warn
-    quality.expect_warn(silver.orders(b.raw_orders), rules, watch).write.format("noop").mode("overwrite").save()
-    seen = watch.get
+    apart = Bound(b.spark.newSession(), b.folder)  # see the note on observations in quality.py
+    observed = quality.expect_warn(silver.orders(apart.raw_orders), rules, watch)
+    observed.write.format("noop").mode("overwrite").save()
     # The observed counts next to the table they were taken from.
     return b.raw_orders.agg(F.count(F.lit(1)).alias("linhas")).withColumn(
-        "violacoes", F.lit(seen["Entrega_Atraso_Alerta"])
+        "violacoes", F.lit(watch.get["Entrega_Atraso_Alerta"])
     )
 
 

@@ -2,6 +2,10 @@
 
 A rule is a name and a SQL predicate. A row passes when the predicate is true; NULL is a violation, so a rule that
 wants to keep missing values says so itself.
+
+Violations are counted by an ``Observation`` while the rows flow, at no extra scan. Spark 4.1 cannot train a
+logistic regression in a session that has used an observation (the session then holds an object that tasks cannot
+carry), so a job that does both should observe in ``spark.newSession()``.
 """
 
 from __future__ import annotations
