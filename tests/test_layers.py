@@ -248,3 +248,49 @@ def test_mart_outputs_pass_declared_tests(shop):
 
 def test_staging_projection_has_the_declared_columns(shop):
     assert rows.select_staging(shop["sellers"].withColumn("seller_zip_code", F.lit("1")), "sellers").columns == rows.STAGING["sellers"]
+
+
+def test_guard_is_not_copied_to_the_other_side_of_a_join(frame, at):
+    orders = frame(
+        "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp, "
+        "order_approved_at timestamp, order_delivered_carrier_date timestamp, order_delivered_customer_date timestamp, "
+        "order_estimated_delivery_date timestamp", ("o1", "c1", "delivered", at("2020-01-01"), None, None, None, None))
+    people = frame(
+        "customer_id string, customer_unique_id string, customer_zip_code string, customer_city string, customer_state string",
+        ("c1", "u1", "1", "x", "SP"), (None, "u2", "1", "x", "SP"))
+    paid = silver.payments(frame(
+        "order_id string, payment_sequential int, payment_type string, payment_installments int, payment_value double",
+        ("o1", 1, "boleto", 1, 5.0), (None, 1, "boleto", 1, 5.0)))
+    enriched = silver.orders_enriched(silver.orders(orders), people, paid)
+    guarded = quality.apply_rules(enriched, silver.RULES["orders_enriched"])
+    assert [r.customer_unique_id for r in guarded.collect()] == ["u1"]
+    broken = silver.orders_enriched(silver.orders(orders.withColumn("customer_id", F.lit(None).cast("string"))), people, paid)
+    with pytest.raises(Exception, match="Customer_ID_Obrigatorio: o1"):
+        quality.apply_rules(broken, silver.RULES["orders_enriched"]).collect()
+
+
+def test_sketches_stay_close(spark):
+    df = spark.range(20_000).select((F.col("id") % 2 == 0).cast("int").alias("customer_state"), F.col("id").alias("tempo_total_seg"))
+    for row in requirements.lead_time_quantiles(df).collect():
+        assert all(abs(q - want) < 200 for q, want in zip(row.quantis_seg, (10_000, 18_000, 19_000), strict=True))
+    near = aggregates.approx_distinct_by(df, ["customer_state"], {"n": "tempo_total_seg"})
+    assert all(abs(r.n - 10_000) < 800 for r in near.collect())
+
+
+def test_one_hot_order_does_not_change_results(spark):
+    """A third of all lines in one order, one product and one seller."""
+    lines = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("order_id"),
+        F.col("id").cast("int").alias("order_item_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("product_id"),
+        F.lit("s").alias("seller_id"), F.lit(Decimal("1.00")).alias("price"), F.lit(Decimal("0.10")).alias("freight_value"),
+        F.lit(Decimal("1.10")).alias("total_item_value"),
+    )
+    heads = lines.groupBy("order_id").agg(F.min("order_item_id").alias("n")).select(
+        "order_id", F.lit("c").alias("customer_id"), F.lit("delivered").alias("order_status"),
+        F.timestamp_seconds(F.lit(1_600_000_000) + F.col("n") * 60).alias("order_purchase_timestamp"))
+    fact = gold.fato_vendas_diarias(heads, lines).agg(F.sum("gmv").alias("gmv"), F.sum("total_pedidos").alias("n")).first()
+    assert (fact.gmv, fact.n) == (Decimal("9900.00"), 6001)
+    reviews = heads.select(F.concat(F.lit("r"), "order_id").alias("review_id"), "order_id", F.lit(1).alias("review_score"))
+    judged = joins.join_items_reviews(lines, reviews, "product_id")
+    assert judged.where("product_id = 'hot'").first().total_reviews == 3000

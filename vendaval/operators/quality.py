@@ -53,9 +53,15 @@ def expect_or_drop(df: DataFrame, rules: Rules, watch: Observation | None = None
 
 
 def expect_or_fail(df: DataFrame, rules: Rules) -> DataFrame:
-    """The query itself fails, inside the task, on the first row that breaks a rule."""
+    """The query itself fails, inside the task, on the first row that breaks a rule.
+
+    The message names the rule and shows the first columns of the row. Because it reads more than the key, the
+    optimizer cannot copy the guard to the other side of an equality join, where it would fail on rows that never
+    take part.
+    """
+    shown = F.concat_ws(", ", *[F.col(f"`{c}`").cast("string") for c in df.columns[:3]])
     for name, predicate in rules.items():
-        stop = F.raise_error(F.lit(f"expectation failed: {name}")).cast("boolean")
+        stop = F.raise_error(F.concat(F.lit(f"expectation failed: {name}: "), shown)).cast("boolean")
         df = df.where(F.when(_ok(predicate), F.lit(True)).otherwise(stop))
     return df
 
