@@ -19,6 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .batches import byte_texts, list_array, slices, without
 
@@ -228,7 +229,7 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
             back = pa.array([b.decode("utf-8", "replace") for _, b in done], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, list_array(ids, lengths, pa.int32()), back], names=[*keep, "ids", "decoded"])
 
-    schema = base.schema.add("ids", "array<int>").add("decoded", "string")
+    schema = T.StructType([*base.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
     return base.mapInArrow(run, schema)
 
 
@@ -245,7 +246,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             texts = [None if v is None else own.text_bytes(np.array(v, "i8")).decode("utf-8", "replace") for v in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*base.columns, "decoded"])
 
-    return base.mapInArrow(run, base.schema.add("decoded", "string"))
+    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
 def digests(df: DataFrame, path: str) -> DataFrame:
