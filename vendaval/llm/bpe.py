@@ -239,12 +239,13 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     Bytes that are not UTF-8 become the replacement character. An id outside the vocabulary is an error.
     """
     base = without(df, ("decoded",))
+    kept = base.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
             texts = [None if v is None else own.text_bytes(np.array(v, "i8")).decode("utf-8", "replace") for v in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*base.columns, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, "decoded"])
 
     return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("decoded", T.StringType())]))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality
+from . import bpe, language, quality, urls
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -20,6 +20,14 @@ def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.verdicts(table(spark, folder, "pages"))
+
+
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.predictions(table(spark, folder, "documents"))
+
+
 def op8_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return quality.digest(table(spark, folder, "documents"))
 
@@ -28,9 +36,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op3_bpe_round_trip,
+        op5_url_filter,
+        op6_language,
         op8_quality_ledger,
     )
 }
 ORACLES: dict[str, str] = {
+    "op5_url_filter": urls.SQL,
     "op8_quality_ledger": quality.SQL,
 }
