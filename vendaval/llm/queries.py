@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, quality, urls
+from . import bpe, language, neardup, quality, urls
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"), size=3, threshold=85)
+
+
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -35,6 +39,7 @@ def op8_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_near_duplicates,
         op3_bpe_round_trip,
         op5_url_filter,
         op6_language,
