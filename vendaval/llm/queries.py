@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, neardup, quality, urls
+from . import bpe, chat, language, mixing, neardup, quality, urls
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -24,6 +24,10 @@ def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.schedule_of(table(spark, folder, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.verdicts(table(spark, folder, "pages"))
 
@@ -36,17 +40,24 @@ def op8_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return quality.digest(table(spark, folder, "documents"))
 
 
+def op10_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.renderings(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_near_duplicates,
         op3_bpe_round_trip,
+        op4_source_mix,
         op5_url_filter,
         op6_language,
         op8_quality_ledger,
+        op10_chat_perspectives,
     )
 }
 ORACLES: dict[str, str] = {
     "op5_url_filter": urls.SQL,
+    "op10_chat_perspectives": chat.SQL,
     "op8_quality_ledger": quality.SQL,
 }
