@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, language, mixing, neardup, quality, urls
+from . import bpe, chat, language, lm, mixing, neardup, quality, urls
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.contract(table(spark, folder, "documents"))
+
+
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), size=3, threshold=85)
 
@@ -47,6 +51,7 @@ def op10_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_lm_score,
         op2_near_duplicates,
         op3_bpe_round_trip,
         op4_source_mix,
