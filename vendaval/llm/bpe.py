@@ -159,36 +159,38 @@ class Codec:
             memory.update(zip(keys, [raw[s:e] for s, e in zip(cuts[:-1], cuts[1:])]))
             back.update(zip(keys, [whole[s:e] for s, e in zip(at[:-1], at[1:])]))
 
-    def encode_batch(self, texts: list[bytes]) -> list[tuple[np.ndarray, bytes]]:
+    def encode_batch(self, texts: list[bytes], specials: bool = True) -> list[tuple[np.ndarray, bytes]]:
         """(ids, bytes decoded from those ids) of each whole text.
 
         A single space between two characters that are not white space always starts a piece, so texts are cut there and
-        each distinct chunk is encoded once. Texts with other runs of white space are cut by the full pattern.
+        each distinct chunk is encoded once. Texts with other runs of white space are cut by the full pattern. Without
+        ``specials`` the strings of added tokens are ordinary text.
         """
+        added = self.added if specials else {}
         if len(self.chunks) > REMEMBERED:
             for memory in (self.chunks, self.chunk_texts, self.heads, self.head_texts):
                 memory.clear()
-        parts = [self._segments(t) for t in texts]
+        parts = [self._segments(t) if added else [t] if t else [] for t in texts]
         new, heads = set(), set()
         for segments in parts:
             for s in segments:
-                if s not in self.added:
+                if s not in added:
                     words = s.split(b" ")
                     heads.add(words[0])
                     new.update(words[1:])
         self._learn(self.chunks, self.chunk_texts, [w for w in new if w not in self.chunks], b" ")
         self._learn(self.heads, self.head_texts, [w for w in heads if w not in self.heads], b"")
-        return [self._encode(segments) for segments in parts]
+        return [self._encode(segments, added) for segments in parts]
 
     def _segments(self, text: bytes) -> list[bytes]:
         return [s for s in self.added_split.split(text) if s] if self.added_split else [text] if text else []
 
-    def _encode(self, segments: list[bytes]) -> tuple[np.ndarray, bytes]:
+    def _encode(self, segments: list[bytes], added: dict[bytes, int]) -> tuple[np.ndarray, bytes]:
         ids: list[bytes] = []
         texts: list[bytes] = []
         for s in segments:
-            if s in self.added:
-                ids.append(np.array([self.added[s]], "i4").tobytes())
+            if s in added:
+                ids.append(np.array([added[s]], "i4").tobytes())
                 texts.append(s)
                 continue
             words = s.split(b" ")

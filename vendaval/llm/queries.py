@@ -7,9 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, language, lm, mixing, neardup, quality, urls
+from . import bpe, chat, language, lm, mixing, neardup, quality, tokenfiles, urls
 
 VOCABULARY = "byte_bpe_50k.json"
+#: Its end-of-text id.
+END_OF_TEXT = 50256
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,6 +42,10 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.predictions(table(spark, folder, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfiles.document_counts(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), END_OF_TEXT)
+
+
 def op8_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return quality.digest(table(spark, folder, "documents"))
 
@@ -57,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_source_mix,
         op5_url_filter,
         op6_language,
+        op7_token_counts,
         op8_quality_ledger,
         op10_chat_perspectives,
     )
