@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, language, lm, mixing, neardup, quality, tokenfiles, urls
+from . import bpe, chat, language, lm, mixing, nearest, neardup, quality, tokenfiles, urls
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Its end-of-text id.
@@ -50,6 +50,10 @@ def op8_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return quality.digest(table(spark, folder, "documents"))
 
 
+def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.contract(table(spark, folder, "embeddings"))
+
+
 def op10_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return chat.renderings(table(spark, folder, "conversations"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_language,
         op7_token_counts,
         op8_quality_ledger,
+        op9_nearest,
         op10_chat_perspectives,
     )
 }
