@@ -75,7 +75,7 @@ def measure(df: DataFrame, text: str = "text", into: str = "measures") -> DataFr
         F.when(repeated, F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("at"))))),
     ).withColumn("__starts", F.when(F.col("__pairs").isNotNull(), _starts(F.col("__pairs"))))
     count = lambda pattern: F.regexp_count(F.col(held), F.lit(pattern)).cast("long")
-    return base.select(
+    measured = base.select(
         *[F.col(f"`{c}`") for c in columns],
         F.struct(
             n.cast("long").alias("n_words"),
@@ -88,6 +88,8 @@ def measure(df: DataFrame, text: str = "text", into: str = "measures") -> DataFr
             (F.length(held) - F.length(F.replace(F.col(held), F.lit("!"), F.lit("")))).cast("long").alias("n_exclamations"),
         ).alias(into),
     )
+    # A row of one element: no filter is moved below it, where it would repeat every expression above in its condition.
+    return measured.select(*[F.col(f"`{c}`") for c in columns], F.explode(F.array(F.col(into))).alias(into))
 
 
 def failures(measures: Column) -> Column:
