@@ -106,14 +106,20 @@ def fit(features: np.ndarray, labels: list[str], steps: int = 150) -> Model:
 
 
 def train(df: DataFrame, use: Column, key: str = "doc_id", text: str = "text", label: str = "lang") -> Model:
-    """Fit on rows where ``use`` holds and text and label are there. Runs one job.
+    """Fit on rows where ``use`` holds and text and label are there. Runs two jobs.
 
     The sample is bounded by SAMPLE_PER_LABEL rows a label; tasks send n-gram shares, not texts, to the driver.
     """
     rows = df.where(use & F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("h")
     )
-    picked = rows.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h"))).where(F.col("r") <= SAMPLE_PER_LABEL)
+    sizes = rows.groupBy("label").count().collect()  # one row a label
+    # A first cut by the hash leaves about 2 * SAMPLE_PER_LABEL rows of a label for the exact one, however many there are.
+    limits = rows.sparkSession.createDataFrame(
+        [(r["label"], min(2**63 - 1, int((min(1.0, 2 * SAMPLE_PER_LABEL / r["count"]) * 2 - 1) * 2**63))) for r in sizes], "label string, most bigint"
+    )
+    near = rows.join(F.broadcast(limits), "label").where(F.col("h") <= F.col("most")).drop("most")
+    picked = near.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h"))).where(F.col("r") <= SAMPLE_PER_LABEL)
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
