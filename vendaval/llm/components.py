@@ -29,7 +29,8 @@ def _small_star(links: DataFrame) -> DataFrame:
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """id, component: the least id reachable, for every id that has a link. Ids are longs; links to itself and nulls go.
 
-    Steps alternate until nothing moves (about the logarithm of the longest chain); each is written to the shared folder.
+    Steps alternate until only stars are left (about the logarithm of the longest chain); each is written to the shared
+    folder.
     A vertex with very many links is one small row of a pre-aggregated minimum; its join is split by adaptive execution.
     """
     stars = cut_lineage(
@@ -37,12 +38,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .where("both AND u <> v").select("u", "v").distinct(),
         "links",
     )
-    state = None
     while True:
         stars = cut_lineage(_small_star(_large_star(stars).distinct()), "stars")
-        now = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
-                stars.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-            )
-        state = now
+        inner = stars.join(stars.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
+        if inner.isEmpty():  # no vertex that is pointed at points on: every link leads to its root
+            roots = stars.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+            return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
