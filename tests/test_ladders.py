@@ -73,7 +73,7 @@ def test_text_helpers(frame):
         S.pad_zip("zip"), S.clean_lower("city"), S.underscores_to_spaces("code"), S.has_text("city"), S.longer_than("city", 0)
     ).collect()
     assert tuple(got[0]) == ("01001", "são paulo", "a b c", True, True)
-    assert tuple(got[1]) == ("12345", None, None, False, False)
+    assert tuple(got[1]) == ("123456", None, None, False, False)
     assert tuple(got[2]) == (None, "", "x", False, False)
 
 

@@ -247,7 +247,7 @@ def _(b):
     SELECT query_id, neighbour_id, rank, round(score, 6) AS score FROM ranked WHERE rank <= 3""")
 def _(b):
     vectors = b.table("embeddings")
-    found = retrieval.similar_top_k(vectors, vectors, 3, inline_queries=100, query_block=200, corpus_slices=4)
+    found = retrieval.similar_top_k(vectors, vectors, 3, query_rows=200, corpus_rows=150)
     return found.withColumn("score", F.round("score", 6))
 
 

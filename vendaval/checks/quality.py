@@ -76,11 +76,12 @@ def _(b):
 
 
 @check("DQ7_referential_check", """
-    SELECT (SELECT COUNT(DISTINCT order_id) FROM s_orders) AS parent_keys,
-      (SELECT COUNT(DISTINCT order_id) FROM s_items) AS child_keys,
-      (SELECT COUNT(*) FROM (SELECT order_id FROM s_orders EXCEPT SELECT order_id FROM s_items)) AS only_parent,
-      (SELECT COUNT(*) FROM (SELECT order_id FROM s_items EXCEPT SELECT order_id FROM s_orders)) AS only_child,
-      'DIVERGENTE' AS status""")
+    SELECT *, parent_keys = child_keys AS same_count, CASE WHEN only_child = 0 THEN 'OK' ELSE 'DIVERGENTE' END AS status
+    FROM (
+      SELECT (SELECT COUNT(DISTINCT order_id) FROM s_orders) AS parent_keys,
+        (SELECT COUNT(DISTINCT order_id) FROM s_items) AS child_keys,
+        (SELECT COUNT(*) FROM (SELECT order_id FROM s_orders EXCEPT SELECT order_id FROM s_items)) AS only_parent,
+        (SELECT COUNT(*) FROM (SELECT order_id FROM s_items EXCEPT SELECT order_id FROM s_orders)) AS only_child)""")
 def _(b):
     return quality.referential_check(b.orders, b.items, "order_id")
 
@@ -269,14 +270,24 @@ def _(b):
 @check("GV3_column_view_customers", """
     SELECT CAST(customer_zip_code_prefix AS BIGINT) AS customer_zip_code_prefix, customer_city, customer_state FROM b_customers""")
 def _(b):
-    return governance.column_view(b.raw_customers, "customers", "analista_jr")
+    return governance.column_view(b.raw_customers, "raw.customers", "analista_jr")
 
 
 @check("GV3_column_view_reviews", """
     SELECT review_id, order_id, review_score, CAST(review_creation_date AS VARCHAR) AS review_creation_date,
       CAST(review_answer_timestamp AS VARCHAR) AS review_answer_timestamp FROM b_reviews""")
 def _(b):
-    return governance.column_view(b.raw_reviews, "reviews", "analista_jr")
+    return governance.column_view(b.raw_reviews, "raw.reviews", "analista_jr")
+
+
+@check("GV3_column_view_clean_customers", "SELECT * EXCLUDE (customer_id, customer_unique_id) FROM s_customers")
+def _(b):
+    return governance.column_view(b.customers, "clean.customers", "analista_jr")
+
+
+@check("GV3_column_view_clean_sellers", "SELECT * EXCLUDE (seller_id) FROM s_sellers")
+def _(b):
+    return governance.column_view(b.sellers, "clean.sellers", "analista_jr")
 
 
 @check("GV4_row_filter_orders", f"""
@@ -291,6 +302,17 @@ def _(b):
     return governance.row_filter(b.sellers, "seller_state", ["Regiao_Norte"])
 
 
+@check("GV4_row_filter_customers", f"SELECT * FROM s_customers WHERE customer_state IN {NORTE}")
+def _(b):
+    return governance.row_filter(b.customers, "customer_state", ["Regiao_Norte"])
+
+
+@check("GV4_row_filter_two_groups", f"SELECT * FROM s_customers WHERE customer_state IN {NORTE} OR customer_state IN ('PR', 'RS', 'SC')")
+def _(b):
+    groups = {"Regiao_Norte": fixed.REGION_STATES["Norte"], "Regiao_Sul": fixed.REGION_STATES["Sul"]}
+    return governance.row_filter(b.customers, "customer_state", ["Regiao_Norte", "Regiao_Sul"], groups)
+
+
 @check("GV4_row_filter_unrestricted", "SELECT * FROM s_customers")
 def _(b):
     return governance.row_filter(b.customers, "customer_state", ["admins"])

@@ -1,4 +1,7 @@
-"""Values that results depend on. Each block below is a fixed value of the data model."""
+"""Values that results depend on. Each block below is a fixed value of the data model.
+
+Lists that only serve as membership sets (states, statuses, months) stand in alphabetical or numerical order.
+"""
 
 # Codes of the 27 states by macro-region.
 REGION_STATES = {
@@ -124,26 +127,32 @@ PII_NAME_PATTERNS = {
     "DOCUMENTO": "(cpf|cnpj|rg|documento|document)",
 }
 
-# Patterns of personal data in values, in the syntax Java and RE2 share.
+# Patterns of personal data in values, in the syntax Java and RE2 share. Redaction applies them in this order: the longest
+# digit groups first, so that no part of a card or document number is taken for a phone. A number counts as a whole only.
 PII_VALUE_PATTERNS = {
     "EMAIL": "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+[.][A-Za-z0-9.-]+",
-    "TELEFONE": "([(][0-9]{2,3}[)] ?|[0-9]{2,3}[ -])[0-9]{3,5}[ -][0-9]{4}",
+    "CARTAO": r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b",
     "DOCUMENTO": r"\b[0-9]{3}[.][0-9]{3}[.][0-9]{3}-[0-9]{2}\b",
+    "TELEFONE": r"([(][0-9]{2,3}[)] ?|\b[0-9]{2,3}[ -])[0-9]{3,5}[ -][0-9]{4}\b",
     "CEP": r"\b[0-9]{5}-[0-9]{3}\b",
     "COORDENADA_GPS": "-?[0-9]{1,2}[.][0-9]{4,}, ?-?[0-9]{1,3}[.][0-9]{4,}",
-    "CARTAO": "[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}",
 }
 
 # A character every match of the pattern holds.
 PII_VALUE_SIGNS = {"EMAIL": "@", "CEP": "-", "DOCUMENTO": "-", "COORDENADA_GPS": ","}
 
-# Columns a junior analyst may not see, per table.
+# Columns a junior analyst may not see, per layer and table.
 JUNIOR_HIDDEN = {
-    "customers": ["customer_id", "customer_unique_id"],
-    "sellers": ["seller_id"],
-    "geolocation": ["geolocation_lat", "geolocation_lng"],
-    "reviews": ["review_comment_title", "review_comment_message"],
+    "raw.customers": ["customer_id", "customer_unique_id"],
+    "raw.sellers": ["seller_id"],
+    "raw.geolocation": ["geolocation_lat", "geolocation_lng"],
+    "raw.reviews": ["review_comment_title", "review_comment_message"],
+    "clean.customers": ["customer_id", "customer_unique_id"],
+    "clean.sellers": ["seller_id"],
+    "clean.reviews": ["review_title", "review_message"],
 }
+# Roles without hidden columns.
+UNRESTRICTED_ROLES = ["admin"]
 
 # Member group whose rows are limited to one macro-region.
 REGIONAL_GROUPS = {"Regiao_Norte": REGION_STATES["Norte"]}

@@ -27,8 +27,9 @@ def clean_upper(value: Column | str) -> Column:
 
 
 def pad_zip(value: Column | str, width: int = 5) -> Column:
-    """Zero-padded postal prefix. Longer input is cut to ``width``."""
-    return F.lpad(as_column(value).cast("string"), width, "0")
+    """Zero-padded postal prefix. Longer input stays as it is."""
+    text = as_column(value).cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
 def underscores_to_spaces(value: Column | str) -> Column:

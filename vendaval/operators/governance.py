@@ -62,24 +62,35 @@ def pii_classify(scan: DataFrame, least_rate: float = 0.0) -> DataFrame:
     })
 
 
-def column_view(df: DataFrame, table: str, role: str, hidden: Mapping[str, Mapping[str, Sequence[str]]] | None = None):
-    """What a role may select: all columns but the ones hidden from it in this table."""
+def column_view(
+    df: DataFrame, table: str, role: str, hidden: Mapping[str, Mapping[str, Sequence[str]]] | None = None
+) -> DataFrame:
+    """What a role may select: all columns but the ones hidden from it in this table (``layer.name``).
+
+    Fails closed: a role that is neither restricted nor in UNRESTRICTED_ROLES is an error, and so is a hidden column
+    that the table does not have, since its content may stand under another name.
+    """
     policy = hidden or {"analista_jr": fixed.JUNIOR_HIDDEN}
-    return df.drop(*policy.get(role, {}).get(table, []))
+    if role in fixed.UNRESTRICTED_ROLES and role not in policy:
+        return df
+    if role not in policy:
+        raise ValueError(f"no column policy for role {role}")
+    names = policy[role].get(table, [])
+    if missing := set(names) - set(df.columns):
+        raise ValueError(f"columns to hide from {role} are not in {table}: {sorted(missing)}")
+    return df.drop(*names)
 
 
 def row_filter(
     df: DataFrame, column: str, user_groups: Collection[str], regional: Mapping[str, Sequence[str]] | None = None
 ) -> DataFrame:
-    """Members of a regional group see only the rows of its states; everyone else sees all rows.
+    """Members of regional groups see the rows of all their groups' states; everyone else sees all rows.
 
-    The test is a literal IN list, so it reaches the parquet scan.
+    The test is one literal IN list, so it reaches the parquet scan.
     """
     rules = regional or fixed.REGIONAL_GROUPS
-    for group in user_groups:
-        if group in rules:
-            df = df.where(F.col(column).isin(list(rules[group])))
-    return df
+    mine = [rules[group] for group in user_groups if group in rules]
+    return df.where(F.col(column).isin(sorted({value for values in mine for value in values}))) if mine else df
 
 
 def row_filter_by_grant(df: DataFrame, column: str, grants: DataFrame, user: str) -> DataFrame:

@@ -91,9 +91,9 @@ def stream_static_lookup(stream: DataFrame, static: DataFrame, key: str, value:
 def effective_dated_join(
     usage: DataFrame, prices: DataFrame, key: str, day: str, start: str, end: str
 ) -> DataFrame:
-    """Price valid on the day of use. The equality on ``key`` gives a hash join; the dates are a residual test."""
-    last = F.coalesce(F.col(f"p.{end}"), F.lit("2099-12-31").cast("date"))
-    on = (F.col(f"u.{key}") == F.col(f"p.{key}")) & F.col(f"u.{day}").between(F.col(f"p.{start}"), last)
+    """Price valid on the day of use; a price without an end holds for ever. The equality on ``key`` gives a hash join; the dates are a residual test."""
+    begun, over = F.col(f"u.{day}") >= F.col(f"p.{start}"), F.col(f"u.{day}") > F.col(f"p.{end}")
+    on = (F.col(f"u.{key}") == F.col(f"p.{key}")) & begun & (F.col(f"p.{end}").isNull() | ~over)
     extra = [F.col(f"p.{c}") for c in prices.columns if c != key]
     return usage.alias("u").join(prices.alias("p"), on, "left").select("u.*", *extra)
 

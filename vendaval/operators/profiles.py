@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,29 +27,37 @@ def melt(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(F.array(*cells)))
 
 
-def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def profile(df: DataFrame, columns: Sequence[str], distinct: bool = True) -> DataFrame:
     """Rows, missing, distinct, minimum, maximum, mean, deviation and percent of zeros per column.
 
-    One scan over the long form. Distinct values are first reduced per (column, value) and only then per column, so
-    the single group of a column never carries its raw values.
+    All but the distinct counts come from one aggregation without a shuffle of values. ``distinct`` adds the exact number
+    of values, column by column: each is reduced to its values first, so no task carries a column. Without it the field
+    is null.
     """
-    number = F.col("number")
-    per_value = melt(df, columns).groupBy("column_name", "value", "number").agg(F.count(F.lit(1)).alias("_n"))
-    n = F.when(number.isNotNull(), F.col("_n"))
-    total, squares = F.sum(n * number), F.sum(n * number * number)
-    count = F.sum(n)
-    grouped = per_value.groupBy("column_name").agg(
-        F.sum("_n").alias("num_rows"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("_n"))), F.lit(0)).alias("num_nulls"),
-        F.count("value").alias("num_distinct"),
-        F.min(number).alias("min"),
-        F.max(number).alias("max"),
-        F.try_divide(total, count).alias("mean"),
-        F.sqrt(F.try_divide(squares - F.try_divide(total * total, count), count - 1)).alias("stddev"),
-        F.coalesce(F.sum(F.when(number == 0, F.col("_n"))), F.lit(0)).alias("_zeros"),
-    )
-    shares = grouped.withColumn("percent_zeros", S.percent(F.col("_zeros"), F.col("num_rows"), 4)).drop("_zeros")
-    return shares
+    kinds = dict(df.dtypes)
+
+    def number(c: str) -> Column:
+        numeric = kinds[c] in ("tinyint", "smallint", "int", "bigint", "float", "double") or kinds[c].startswith("decimal")
+        return F.col(c).cast("double") if numeric else F.lit(None).cast("double")
+
+    measures = {
+        "num_rows": lambda c: F.count(F.lit(1)),
+        "num_nulls": lambda c: F.count_if(F.col(c).isNull()),
+        "min": lambda c: F.min(number(c)),
+        "max": lambda c: F.max(number(c)),
+        "mean": lambda c: F.avg(number(c)),
+        "stddev": lambda c: F.stddev_samp(number(c)),
+        "_zeros": lambda c: F.count_if(number(c) == 0),
+    }
+    wide = df.agg(*[f(c).alias(f"{i}_{name}") for i, c in enumerate(columns) for name, f in measures.items()])
+    entries = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{i}_{name}").alias(name) for name in measures]) for i, c in enumerate(columns)]
+    long = wide.select(F.inline(F.array(*entries)))
+    if distinct:
+        values = [df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("num_distinct")) for c in columns]
+        long = long.join(reduce(DataFrame.unionByName, values), "column_name")
+    else:
+        long = long.withColumn("num_distinct", F.lit(None).cast("bigint"))
+    return long.withColumn("percent_zeros", S.percent(F.col("_zeros"), F.col("num_rows"), 4)).drop("_zeros")
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], at: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:

@@ -137,7 +137,7 @@ def _match(first: str, second: str) -> Column:
 def referential_check(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
     """Distinct keys on both sides and keys found on one side only, from one pass over both.
 
-    Each side is reduced to its distinct keys before they meet.
+    ``status`` is OK if every key of the child has its parent; ``same_count`` only compares the numbers. Each side is reduced to its distinct keys before they meet.
     """
     left = parent.select(key).distinct().withColumns({"_p": F.lit(1), "_c": F.lit(0)})
     right = child.select(key).distinct().withColumns({"_p": F.lit(0), "_c": F.lit(1)})
@@ -148,7 +148,10 @@ def referential_check(parent: DataFrame, child: DataFrame, key: str) -> DataFram
         F.coalesce(F.sum("c"), F.lit(0)).alias("child_keys"),
         F.count_if(F.col("p") > F.col("c")).alias("only_parent"),
         F.count_if(F.col("c") > F.col("p")).alias("only_child"),
-    ).withColumn("status", _match("parent_keys", "child_keys"))
+    ).withColumns({
+        "same_count": F.col("parent_keys") == F.col("child_keys"),
+        "status": F.when(F.col("only_child") == 0, "OK").otherwise("DIVERGENTE"),
+    })
 
 
 def pk_null_check(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:

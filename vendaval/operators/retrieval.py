@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -19,12 +17,14 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def _best(query_ids: np.ndarray, query_unit: np.ndarray, ids: np.ndarray, unit: np.ndarray, k: int) -> pd.DataFrame:
-    """Top ``k`` of one block of the corpus for each query: all the block can contribute to the answer."""
+    """Top ``k`` of one slice of the corpus for each query: all the slice can contribute to the answer."""
     scores = np.round(query_unit @ unit.T, 9)
     parts = []
     for row, query in enumerate(query_ids):
         line = np.where(ids == query, -np.inf, scores[row])
-        order = np.lexsort((ids, -line))[:k]
+        # Everything that ties with the k-th stays until ids have decided.
+        near = np.flatnonzero(line >= np.partition(line, -k)[-k]) if len(line) > k else np.arange(len(line))
+        order = near[np.lexsort((ids[near], -line[near]))][:k]
         order = order[np.isfinite(line[order])]
         parts.append(pd.DataFrame({"query_id": query, "neighbour_id": ids[order], "score": line[order]}))
     return pd.concat(parts) if parts else pd.DataFrame(columns=["query_id", "neighbour_id", "score"])
@@ -32,56 +32,32 @@ def _best(query_ids: np.ndarray, query_unit: np.ndarray, ids: np.ndarray, unit:
 
 def similar_top_k(
     queries: DataFrame, corpus: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
-    inline_queries: int = 256, query_block: int = 1024, corpus_slices: int = 64,
+    query_rows: int = 2048, corpus_rows: int = 16384,
 ) -> DataFrame:
     """Exact ``k`` nearest rows of the corpus per query by cosine; a query does not find itself.
 
-    Filter ``corpus`` on its metadata first; the filter reaches the scan. Each block of the corpus returns at most
-    ``k`` rows per query, so pairs are never produced, and the merge keeps ``k`` per query map-side as well.
-
-    Up to ``inline_queries`` queries travel with the task and the corpus is scanned without a shuffle. More queries
-    are grouped into blocks and met with slices of the corpus, each pair of block and slice in a task of its own.
-    Runs one small job to learn which case applies.
+    Filter ``corpus`` on its metadata first; the filter reaches the scan. Queries and corpus are cut by a hash of the
+    whole row into blocks of about ``query_rows`` and ``corpus_rows`` rows, as many as their counts ask for, and each
+    pair of blocks meets in a group of that size whatever the tables hold. A block of the corpus returns at most ``k``
+    rows per query, so pairs are never produced, and the merge keeps ``k`` per query map-side as well. Runs two counts.
     """
     q = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
     c = corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
-    few = q.limit(inline_queries + 1).toPandas()
-    if len(few) <= inline_queries:
-        candidates = _inline(few, c, k)
-    else:
-        candidates = _blocked(q, c, k, query_block, corpus_slices)
-    rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "neighbour_id")
-    return candidates.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
-
-
-def _inline(few: pd.DataFrame, corpus: DataFrame, k: int) -> DataFrame:
-    query_ids = few["id"].to_numpy()
-    query_unit = _matrix(few["v"]) if len(few) else np.zeros((0, 1))
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch) and len(query_ids):
-                yield _best(query_ids, query_unit, batch["id"].to_numpy(), _matrix(batch["v"]), k)
-
-    return corpus.mapInPandas(scan, _OUT)
-
-
-def _blocked(queries: DataFrame, corpus: DataFrame, k: int, query_block: int, slices: int) -> DataFrame:
-    blocks = max(1, -(-queries.count() // query_block))
-    every_slice = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
-    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    piece = F.pmod(F.xxhash64(F.col("id"), F.lit(7)), F.lit(slices)).cast("int")
-    left = queries.withColumn("block", block).withColumn("slice", every_slice)
-    right = corpus.withColumn("slice", piece).withColumn("block", every_block)
-
-    def meet(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(c):
+    blocks, slices = max(1, -(-q.count() // query_rows)), max(1, -(-c.count() // corpus_rows))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    spread = lambda seed, n: F.pmod(F.xxhash64("id", "v", F.lit(seed)), F.lit(n)).cast("int")
+    left = q.withColumn("block", spread(1, blocks)).withColumn("slice", every(slices))
+    right = c.withColumn("slice", spread(7, slices)).withColumn("block", every(blocks))
+
+    def meet(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(held):
             return pd.DataFrame(columns=["query_id", "neighbour_id", "score"])
-        return _best(q["id"].to_numpy(), _matrix(q["v"]), c["id"].to_numpy(), _matrix(c["v"]), k)
+        return _best(asked["id"].to_numpy(), _matrix(asked["v"]), held["id"].to_numpy(), _matrix(held["v"]), k)
 
     keys = ["block", "slice"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, _OUT)
+    candidates = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, _OUT)
+    rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "neighbour_id")
+    return candidates.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
 
 
 def precision_at_k(results: DataFrame, relevant: DataFrame, k: int) -> DataFrame:

@@ -92,9 +92,8 @@ def publish_snapshot(df: DataFrame, path: str, version: int) -> None:
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int) -> DataFrame:
-    """Rows of one version; only its folder is read."""
-    history = spark.read.option("mergeSchema", "true").parquet(path)
-    return history.where(F.col("version") == version).drop("version")
+    """Rows of one version, with that version's columns; no other folder is listed or read."""
+    return spark.read.parquet(f"{path}/version={version}")
 
 
 def restore_snapshot(spark: SparkSession, path: str, version: int, as_version: int) -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -135,14 +134,14 @@ def train_test_split(
 ) -> tuple[DataFrame, DataFrame]:
     """Split by a hash of the key: no shuffle, and a row stays on its side when data is added or a task is rerun.
 
-    ``stratify`` mixes the label into the hash, so that each label is split by its own independent draw.
+    ``stratify`` gives every label the same share: its cut-off is the quantile of its own rows' hashes (to 1 in 10,000).
+    The cut-offs then move when data is added.
     """
-    position = _unit_hash([*keys, stratify] if stratify else keys, seed)
-    return df.where(position >= test_share), df.where(position < test_share)
-
-
-def salted(df: DataFrame, salts: int, keys: Sequence[str], name: str = "_salt") -> DataFrame:
-    """A salt column that spreads rows of one hot key over ``salts`` groups, fixed per row."""
-    if salts < 1 or not math.isfinite(salts):
-        raise ValueError("salts must be positive")
-    return df.withColumn(name, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(salts)))
+    position = _unit_hash(keys, seed)
+    if not stratify:
+        return df.where(position >= test_share), df.where(position < test_share)
+    label = F.col(f"`{stratify}`")
+    cuts = df.groupBy(label.alias("_label")).agg(F.percentile_approx(position, test_share, 10_000).alias("_cut"))
+    placed = df.join(cuts, label.eqNullSafe(F.col("_label")))
+    own = [F.col(f"`{c}`") for c in df.columns]
+    return placed.where(position >= F.col("_cut")).select(*own), placed.where(position < F.col("_cut")).select(*own)

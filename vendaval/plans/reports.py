@@ -250,4 +250,5 @@ SERVING: dict[str, Sequence[str]] = {
 
 
 def serving_dataset(mart: DataFrame, name: str) -> DataFrame:
-    return mart.select(*[c for c in SERVING[name] if c in mart.columns])
+    """The declared columns; one that the mart lacks is an error."""
+    return mart.select(*SERVING[name])

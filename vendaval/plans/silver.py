@@ -68,10 +68,6 @@ _LEGS = {
 }
 
 
-def stamped(df: DataFrame, at: datetime | None, column: str = "_transformado_em") -> DataFrame:
-    return df if at is None else df.withColumn(column, F.lit(at).cast("timestamp"))
-
-
 def _kept(df: DataFrame, names: list[str]) -> list[str]:
     """Lineage columns that are present, for the change-feed form of a table."""
     return [c for c in names if c in df.columns]

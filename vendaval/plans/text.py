@@ -42,7 +42,7 @@ def classify_text(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def label_distribution(df: DataFrame, column: str = "sentimento_modelo") -> DataFrame:
-    return group_share(df, [column], few=True).orderBy(F.desc("total"), column)
+    return group_share(df, [column]).orderBy(F.desc("total"), column)
 
 
 def compare_labels(df: DataFrame, model: str = "sentimento_modelo", rule: str = "sentimento_regra") -> DataFrame:

@@ -76,11 +76,6 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def stack_with_schema_merge(older: DataFrame, newer: DataFrame) -> DataFrame:
-    """The rows ``append_with_schema_merge`` leaves behind, without writing."""
-    return older.unionByName(newer, allowMissingColumns=True)
-
-
 def create_table_as(df: DataFrame, name: str, ts: datetime | None = None, path: str | None = None) -> None:
     """Catalog table from a query, stamped with the ingest time. ``path`` makes it external."""
     out = df if ts is None else df.withColumn("_ingestao_ts", F.lit(ts).cast("timestamp"))
@@ -91,13 +86,10 @@ def create_table_as(df: DataFrame, name: str, ts: datetime | None = None, path:
 def export_clustered(df: DataFrame, path: str, dist_key: str, sort_key: str, parts: int | None = None) -> None:
     """Hand-off files hashed by one key and sorted by another within each file.
 
-    The salt spreads a key that holds a large share of the rows over up to eight files.
+    A rebalance keeps the rows of a key together and splits only what is too large for one file, so a key that holds a
+    large share of the rows is written by as many tasks as its size asks for.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if _hashable(df, c)]), F.lit(8))
-    keys = [F.col(dist_key), salt]
-    spread = df.repartition(parts, *keys) if parts else df.repartition(*keys)
+    spread = df.hint("rebalance", *([parts] if parts else []), dist_key)
     spread.sortWithinPartitions(sort_key).write.mode("overwrite").parquet(path)
 
 
-def _hashable(df: DataFrame, column: str) -> bool:
-    return not df.schema[column].dataType.simpleString().startswith("map")

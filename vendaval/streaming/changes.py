@@ -57,8 +57,3 @@ ENTITY_KEYS = {
     "products": ("product_id",),
     "category_translation": ("product_category_name",),
 }
-
-
-def with_lineage(cleaned: DataFrame) -> DataFrame:
-    """Only rows that carry a sequence can be ordered."""
-    return cleaned.where(F.col("_ingestao_ts").isNotNull())

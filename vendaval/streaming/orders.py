@@ -50,23 +50,24 @@ def _sales(exact_customers: bool) -> list:
     ]
 
 
-def gmv_by_state(records: DataFrame, width: str = "1 day", delay: str = "1 day", exact: bool = False) -> DataFrame:
+def gmv_by_state(records: DataFrame, width: str = "1 day", delay: str = "1 day", exact: bool | None = None) -> DataFrame:
     """Sales per tumbling window and state.
 
-    A stream counts customers approximately; ``exact`` is for batch frames. For exact counts on a stream use
+    A batch frame counts customers exactly unless ``exact=False`` asks for less; a stream can only count them
+    approximately. For exact counts on a stream use
     ``customer_days`` and ``roll_up_customer_days``.
     """
     windowed = watermark(records, delay=delay).groupBy(F.window("purchase_ts", width), "customer_state")
-    sales = windowed.agg(*_sales(exact))
+    sales = windowed.agg(*_sales(not records.isStreaming if exact is None else exact))
     start = F.col("window.start")
     return sales.withColumns({"inicio": start, "data": start.cast("date")}).drop("window")
 
 
-def daily_gmv_by_state(records: DataFrame, exact: bool = False) -> DataFrame:
+def daily_gmv_by_state(records: DataFrame, exact: bool | None = None) -> DataFrame:
     return gmv_by_state(records, "1 day", "1 day", exact).drop("inicio")
 
 
-def hourly_gmv_by_state(records: DataFrame, exact: bool = False) -> DataFrame:
+def hourly_gmv_by_state(records: DataFrame, exact: bool | None = None) -> DataFrame:
     return gmv_by_state(records, "1 hour", "10 minutes", exact)
 
 
