@@ -71,3 +71,13 @@ def test_review_figures_never_build_the_pairs(spark, frame):
     got = joins.join_items_reviews(items, reviews, "product_id")
     assert got.agg(F.sum("total_reviews")).first()[0] == 1_000_000  # counted, from five joined rows
     assert got.select("product_id").count() == 5
+
+
+def test_recent_orders_reach_the_scan(spark):
+    """The cut-off of the incremental fact is a literal, pushed into the parquet scan of the orders."""
+    from vendaval.operators import versions
+
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    fact = spark.createDataFrame([("1998-07-20",)], "d string").select(F.col("d").cast("date").alias("data_venda"))
+    text = plan(versions.lookback(orders, "o_orderdate", fact, "data_venda"))
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in text

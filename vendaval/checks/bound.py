@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.ladders import risk_band
 from ..operators.quality import apply_rules
 from ..plans import gold, silver
-from ..sources.documents import assemble_orders
+from ..session import scratch_path
+from ..sources.documents import assemble_orders, read_nested_json
 from ..sources.files import read_table
 
 AS_OF = date(2001, 8, 15)
@@ -193,6 +194,13 @@ class Bound:
             self.raw_orders, self.raw_customers, self.raw_items, self.raw_payments, self.raw_scores
         )
 
+    @cached_property
+    def json_documents(self) -> DataFrame:
+        """The same documents, landed as JSON lines and read back."""
+        path = scratch_path(self.spark, "landing")
+        self.documents.write.json(path)
+        return read_nested_json(self.spark, path)
+
     # ---- clean ---------------------------------------------------------------------------------------------------
 
     def _ruled(self, df: DataFrame, table: str) -> DataFrame:

@@ -123,6 +123,32 @@ for _name, _table, _attr in (
     )
 
 
+_CALENDAR = "(SELECT CAST(d AS VARCHAR) AS data_id, quarter(d) AS trimestre, CASE WHEN month(d) IN (11, 12, 1, 2) THEN 'Alta'" \
+    " WHEN month(d) IN (5, 6, 7, 8) THEN 'Baixa' ELSE 'Media' END AS sazonalidade_varejo" \
+    " FROM (SELECT DISTINCT CAST(order_purchase_timestamp AS DATE) AS d FROM s_orders WHERE order_purchase_timestamp IS NOT NULL))"
+_PLACES = "(SELECT row_number() OVER (ORDER BY estado, cidade) AS localizacao_id, estado, 'Norte' AS regiao FROM" \
+    " (SELECT customer_state AS estado, customer_city AS cidade FROM s_customers UNION SELECT seller_state, seller_city FROM s_sellers))"
+
+
+@check("DQ9_column_tests_dim_tempo", _tests_sql(_CALENDAR, "dim_tempo"))
+def _(b):
+    return quality.column_tests(gold.dim_tempo(b.orders), *gold.TESTS["dim_tempo"])
+
+
+@check("DQ9_column_tests_dim_localizacao", _tests_sql(_PLACES, "dim_localizacao"))
+def _(b):
+    return quality.column_tests(gold.dim_localizacao(b.customers, b.sellers), *gold.TESTS["dim_localizacao"])
+
+
+@check("DQ9_column_tests_odd_values", """
+    SELECT 'not_null:o_orderstatus' AS test, 0 AS failures
+    UNION ALL SELECT 'unique:o_custkey', COUNT(*) FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING COUNT(*) > 1)
+    UNION ALL SELECT 'accepted_values:o_orderstatus', COUNT(DISTINCT o_orderstatus) FROM orders WHERE o_orderstatus NOT IN ('F')
+    UNION ALL SELECT 'accepted_values:o_orderpriority', COUNT(DISTINCT o_orderpriority) FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW')""")
+def _(b):
+    return quality.column_tests(b.table("orders"), ["o_orderstatus"], ["o_custkey"], {"o_orderstatus": ["F"], "o_orderpriority": ["1-URGENT", "5-LOW"]})
+
+
 @check("DQ10_reconcile_counts", """
     SELECT 'items' AS tabela, (SELECT COUNT(*) FROM b_items) AS origem, (SELECT COUNT(*) FROM s_items_enriched) AS destino,
       'OK' AS status

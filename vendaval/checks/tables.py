@@ -53,6 +53,11 @@ def _flat_lines(df):
 
 
 @check("B1_bronze_order_lines", LINES)
+def _(b):
+    return _flat_lines(bronze.order_lines(b.json_documents))
+
+
+@check("B1_bronze_order_lines_in_memory", LINES)
 def _(b):
     return _flat_lines(bronze.order_lines(b.documents))
 

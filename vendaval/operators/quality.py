@@ -185,9 +185,23 @@ def column_tests(
     unique: Sequence[str] = (),
     accepted: Mapping[str, Sequence] | None = None,
 ) -> DataFrame:
-    """All declared tests of a table as rows (test, failures)."""
-    parts = [not_null_test(df, c) for c in not_null] + [unique_test(df, c) for c in unique]
-    parts += [accepted_values_test(df, c, v) for c, v in (accepted or {}).items()]
+    """All declared tests of a table as rows (test, failures): one pass for the not-null tests, one for each unique
+    column, one for the accepted values of all columns."""
+    parts, accepted = [], accepted or {}
+    if not_null:
+        missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in not_null])
+        parts.append(missing.select(F.inline(F.array(*[
+            F.struct(F.lit(f"not_null:{c}").alias("test"), F.col(c).alias("failures")) for c in not_null
+        ]))))
+    parts += [unique_test(df, c) for c in unique]
+    if accepted:
+        odd = [
+            F.struct(F.lit(c).alias("c"), F.when(~F.col(c).isin(list(v)), F.col(c).cast("string")).alias("value"))
+            for c, v in accepted.items()
+        ]
+        values = df.select(F.inline(F.array(*odd))).where(F.col("value").isNotNull()).distinct().groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+        named = df.sparkSession.createDataFrame([(c,) for c in accepted], "c string").join(values, "c", "left")
+        parts.append(named.select(F.concat(F.lit("accepted_values:"), "c").alias("test"), F.coalesce("n", F.lit(0)).alias("failures")))
     return _union(parts)
 
 

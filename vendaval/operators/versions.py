@@ -6,6 +6,7 @@ Nothing here overwrites a path that it reads: results go to a new folder or to a
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,10 +80,12 @@ def delete_insert_by_key(target: DataFrame, new: DataFrame, key: str) -> DataFra
 
 
 def lookback(df: DataFrame, ts: str, fact: DataFrame, day: str, days: int = 3) -> DataFrame:
-    """Input rows from ``days`` before the newest day of the fact. All rows when the fact is empty."""
-    newest = fact.agg(F.max(day)).scalar()
-    since = F.date_sub(newest, days).cast("timestamp")
-    return df.where(F.coalesce(F.col(ts) >= since, since.isNull()))
+    """Input rows from ``days`` before the newest day of the fact. All rows when the fact is empty.
+
+    The newest day is read first (one job, one value), so that the limit is a literal and reaches the scan of ``df``.
+    """
+    newest = fact.agg(F.max(F.to_date(day))).first()[0]
+    return df if newest is None else df.where(F.col(ts) >= F.lit(newest - timedelta(days=days)).cast("timestamp"))
 
 
 # ---- snapshots: a parquet table partitioned by an integer ``version`` -----------------------------------------------

@@ -11,6 +11,8 @@ from ..functions import fixed, ladders
 from ..functions import scalars as S
 from ..operators import aggregates, joins, rows, versions
 from ..operators.windows import surrogate_key
+from ..session import cut_lineage
+from ..sources.files import write_partitioned
 
 # Declared tests per mart (not null, unique, accepted values).
 TESTS = {
@@ -199,7 +201,11 @@ def dim_sellers_score(
 
 
 def fato_vendas_diarias(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Sales per day. Items are reduced to one row per order before the join; the mean is per item line."""
+    """Sales per day; ``orders`` has one row per order. The mean is per item line.
+
+    Items are reduced to one row per order before the join, and orders to one row per day and customer before the day,
+    so that customers are counted without repeating every row.
+    """
     per_order = items.groupBy("order_id").agg(
         F.sum("total_item_value").alias("_value"), F.sum("freight_value").alias("_freight"),
         F.count("total_item_value").alias("_lines"),
@@ -207,9 +213,12 @@ def fato_vendas_diarias(orders: DataFrame, items: DataFrame) -> DataFrame:
     sold = rows.filter_in(orders, "order_status", fixed.SALE_STATUSES).select(
         "order_id", "customer_id", F.to_date("order_purchase_timestamp").alias("data_venda")
     )
-    return sold.join(per_order, "order_id").groupBy("data_venda").agg(
-        F.count_distinct("order_id").alias("total_pedidos"),
-        F.count_distinct("customer_id").alias("total_clientes"),
+    per_customer = sold.join(per_order, "order_id").groupBy("data_venda", "customer_id").agg(
+        F.count("order_id").alias("_orders"), *[F.sum(c).alias(c) for c in ("_value", "_freight", "_lines")]
+    )
+    return per_customer.groupBy("data_venda").agg(
+        F.sum("_orders").alias("total_pedidos"),
+        F.count("customer_id").alias("total_clientes"),
         F.sum("_value").cast("decimal(22,2)").alias("gmv"),
         S.ratio(F.sum("_value"), F.sum("_lines"), 2).alias("ticket_medio"),
         F.sum("_freight").cast("decimal(22,2)").alias("total_frete"),
@@ -217,13 +226,23 @@ def fato_vendas_diarias(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def fato_vendas_incremental(fact: DataFrame, orders: DataFrame, items: DataFrame, days: int = 3) -> DataFrame:
-    """The fact after reprocessing the last days: those days are replaced whole, the rest stays.
+    """The fact after reprocessing the last days: days with new figures are replaced whole, the rest stays.
 
-    The item side is cut to the recent orders before it is aggregated, so a run costs the recent days only.
+    For a stored fact use ``refresh_fato_vendas``, which leaves all other days unread.
     """
+    return versions.delete_insert_by_key(fact, cut_lineage(_recent_sales(fact, orders, items, days), "recent"), "data_venda")
+
+
+def refresh_fato_vendas(path: str, orders: DataFrame, items: DataFrame, days: int = 3) -> None:
+    """Reprocess the last days of a fact stored by ``data_venda``: only partitions with new figures are rewritten."""
+    fact = orders.sparkSession.read.parquet(path)
+    write_partitioned(_recent_sales(fact, orders, items, days), path, "data_venda", mode="overwrite")
+
+
+def _recent_sales(fact: DataFrame, orders: DataFrame, items: DataFrame, days: int) -> DataFrame:
+    """The item side is cut to the recent orders before it is aggregated, so a run costs the recent days only."""
     recent = versions.lookback(orders, "order_purchase_timestamp", fact, "data_venda", days)
-    recent_items = joins.semi_join_in(items, recent, "order_id")
-    return versions.delete_insert_by_key(fact, fato_vendas_diarias(recent, recent_items), "data_venda")
+    return fato_vendas_diarias(recent, joins.semi_join_in(items, recent, "order_id"))
 
 
 def features_ml(orders_enriched: DataFrame, items_enriched: DataFrame) -> DataFrame:
