@@ -27,7 +27,7 @@ ROOT = 0.5
 #: More sources are an error: the plan holds at most MAX_SOURCES phases of max(PERIOD, 2 * sources) slots.
 MAX_SOURCES = 1000
 #: Rows of a source whose running words one task adds up.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 5_000
 
 
 def shares(weights: Mapping[str | None, float], period: int) -> dict[str | None, int]:
