@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from .batches import byte_texts, slices
 from .bpe import codec
 
@@ -133,4 +133,5 @@ def counts(scanned: DataFrame) -> DataFrame:
 def document_counts(df: DataFrame, path: str, separator: int) -> DataFrame:
     """doc_id, n_tokens, file, ordinal of every document, counted in the flat files that its table is written to."""
     blocks, manifest = write_stream(df.select("doc_id", "text"), path, separator)
-    return manifest.join(counts(scan(blocks, separator)), ["file", "ordinal"]).select("doc_id", "n_tokens", "file", "ordinal")
+    scanned = cut_lineage(scan(blocks, separator), "separators")  # a few numbers a block, read by several scans
+    return manifest.join(counts(scanned), ["file", "ordinal"]).select("doc_id", "n_tokens", "file", "ordinal")
