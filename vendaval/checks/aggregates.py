@@ -152,9 +152,14 @@ def _(b):
     return compare_labels(b.labelled_reviews)
 
 
-@check("A19_approx_distinct_by")
+@check("A19_approx_distinct_by", """
+    SELECT seller_id, COUNT(DISTINCT order_id) AS exato, true AS dentro_do_erro FROM s_items GROUP BY 1""")
 def _(b):
-    return aggregates.approx_distinct_by(b.items, ["seller_id"], {"pedidos": "order_id"})
+    # Within three standard errors of the sketch, next to the exact count.
+    sketched = aggregates.approx_distinct_by(b.items, ["seller_id"], {"pedidos": "order_id"})
+    exact = aggregates.count_distinct_by(b.items, ["seller_id"], {"exato": "order_id"})
+    near = F.abs(F.col("pedidos") - F.col("exato")) <= F.greatest(F.lit(1.0), F.col("exato") * 0.06)
+    return sketched.join(exact, "seller_id").select("seller_id", "exato", near.alias("dentro_do_erro"))
 
 
 # ---- windows --------------------------------------------------------------------------------------------------------
@@ -221,7 +226,8 @@ def _(b):
     return windows.sort_by(b.fact.select("data_venda", "total_pedidos"), "data_venda")
 
 
-@check("SL3_sample_random_n")
+@check("SL3_sample_random_n", """
+    SELECT review_id, review_score FROM s_scores ORDER BY md5('42|' || CAST(review_id AS VARCHAR)), review_id LIMIT 1000""")
 def _(b):
     return windows.sample_random_n(b.scores.select("review_id", "review_score"), 1000, ["review_id"])
 
@@ -232,6 +238,12 @@ def _(b):
     return windows.sample_stratified(scores, "review_score", {s: 0.1 for s in range(1, 6)})
 
 
+@check("SL4_sample_all_or_none", "SELECT review_id, review_score FROM s_scores WHERE review_score IN (1, 4)")
+def _(b):
+    scores = b.scores.select("review_id", "review_score")
+    return windows.sample_stratified(scores, "review_score", {1: 1.0, 2: 0.0, 4: 1.0})
+
+
 @check("SL5_train_test_split", "SELECT COUNT(*) AS linhas, COUNT(DISTINCT order_id) AS pedidos FROM g_features")
 def _(b):
     train, test = windows.train_test_split(b.features, ["order_id"], 0.2, stratify="label")
@@ -240,12 +252,14 @@ def _(b):
     return both.agg(F.count(F.lit(1)).alias("linhas"), F.count_distinct("order_id").alias("pedidos"))
 
 
-@check("SL5_train_test_sides")
+@check("SL5_train_test_sides", "SELECT label, COUNT(*) AS linhas, true AS parte_certa FROM g_features GROUP BY 1")
 def _(b):
+    # Every label has its fifth on the test side, to one row in a hundred.
     train, test = windows.train_test_split(b.features, ["order_id"], 0.2, stratify="label")
-    sides = [df.groupBy("label").agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(s))
-             for s, df in (("train", train), ("test", test))]
-    return rows.union_all(*sides)
+    both = rows.union_all(train.select("label", F.lit(0).alias("t")), test.select("label", F.lit(1).alias("t")))
+    return both.groupBy("label").agg(
+        F.count(F.lit(1)).alias("linhas"), (F.abs(F.avg("t") - 0.2) <= 0.01).alias("parte_certa")
+    )
 
 
 # ---- sets -----------------------------------------------------------------------------------------------------------

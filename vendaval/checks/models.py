@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
+from ..functions.ladders import risk_band
 from ..operators import retrieval
 from ..operators.windows import train_test_split
 from ..plans import ml, text
@@ -20,7 +23,19 @@ def _split(b: Bound) -> tuple[DataFrame, DataFrame]:
     return train_test_split(b.features, ["order_id"], 0.2, stratify="label")
 
 
-@check("ML1_late_delivery_features")
+def _code(state: str) -> str:
+    """Index of a state: most frequent first, then by name; a missing one follows after all others."""
+    ranks = f"(SELECT {state} AS v, row_number() OVER (ORDER BY COUNT(*) DESC, {state}) - 1 AS k FROM g_features WHERE {state} IS NOT NULL GROUP BY 1)"
+    return f"coalesce((SELECT k FROM {ranks} WHERE v = f.{state}), (SELECT COUNT(DISTINCT {state}) FROM g_features))"
+
+
+_INPUT_SUM = " + ".join(
+    f"coalesce(CAST(f.{c} AS DOUBLE), {1.0 if c in fixed.MODEL_FILL_ONE else 0.0})" for c in fixed.MODEL_NUMERIC
+) + "".join(f" + {_code(c)}" for c in fixed.MODEL_STATES)
+
+
+@check("ML1_late_delivery_features", f"""
+    SELECT order_id, label, {len(ml.INPUTS)} AS inputs, round({_INPUT_SUM}, 4) AS s FROM g_features f""")
 def _(b):
     from pyspark.ml import Pipeline
 
@@ -28,7 +43,7 @@ def _(b):
     fitted = Pipeline(stages=ml.feature_stages()).fit(data)
     vectors = fitted.transform(data).select("order_id", "label", vector_to_array("features").alias("v"))
     return vectors.select(
-        "order_id", "label", F.size("v").alias("inputs"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 2).alias("s")
+        "order_id", "label", F.size("v").alias("inputs"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 4).alias("s")
     )
 
 
@@ -75,6 +90,18 @@ def _(b):
     return test.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.inline(F.array(*row)))
 
 
+@check("ML4_auc_by_ranks", """
+    WITH r AS (SELECT label, rank() OVER (ORDER BY probabilidade_falha) + (COUNT(*) OVER (PARTITION BY probabilidade_falha) - 1) / 2.0 AS r
+      FROM g_predictions),
+    n AS (SELECT COUNT(*) FILTER (WHERE label = 1) AS n1, COUNT(*) FILTER (WHERE label = 0) AS n0,
+        SUM(CAST(r AS DOUBLE)) FILTER (WHERE label = 1) AS s FROM r)
+    SELECT round((s - n1 * (n1 + 1) / 2.0) / (CAST(n1 AS DOUBLE) * n0), 6) AS auc_roc FROM n""")
+def _(b):
+    ranked = BinaryClassificationEvaluator(rawPredictionCol="probabilidade_falha", labelCol="label", numBins=0)
+    auc = ranked.evaluate(b.predictions.select(F.col("label").cast("double"), "probabilidade_falha"))
+    return b.predictions.agg(F.lit(round(auc, 6)).alias("auc_roc"))
+
+
 @check("ML5_confusion_matrix", "SELECT label, predicao_atraso, COUNT(*) AS total FROM g_predictions GROUP BY 1, 2")
 def _(b):
     return ml.confusion_matrix(b.predictions)
@@ -114,6 +141,18 @@ def _(b):
     return scored.withColumn("probabilidade_falha", F.round("probabilidade_falha", 3))
 
 
+@check("ML8_score_batch_consistent", """
+    SELECT order_id, label, true AS faixa_certa, true AS classe_certa, 'v1' AS modelo_versao FROM g_features""")
+def _(b):
+    train, _test = _split(b)
+    scored = ml.score_batch(ml.train_lr(train, 0.01, 100, 0.0, weighted=False), b.features, "v1", "late_delivery", STAMP)
+    p = F.col("probabilidade_falha")
+    return scored.select(
+        "order_id", "label", ((p >= 0) & (p <= 1) & (F.col("risco_atraso") == risk_band(p))).alias("faixa_certa"),
+        ((p > 0.5).cast("int") == F.col("predicao_atraso")).alias("classe_certa"), "modelo_versao",
+    )
+
+
 @check("ML9_risk_band_analysis", f"""
     SELECT risco_atraso, COUNT(*) AS total_pedidos, COUNT(*) FILTER (WHERE label = 1) AS realmente_atrasados,
       {pct_where('label = 1')} AS taxa_real_pct, round(avg(probabilidade_falha), 3) AS prob_media,
@@ -140,6 +179,17 @@ def _(b):
     return text.classify_text(model, documents).select("doc_id", "predicted")
 
 
+@check("TX2_sentiment_model_beats_majority", """
+    SELECT COUNT(*) AS documentos, true AS melhor FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
+def _(b):
+    labels = b.table("labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    known = b.table("documents").select("doc_id", "text").join(labels, "doc_id")
+    said = text.classify_text(text.sentiment_model(known), known)
+    right = F.avg((F.col("predicted") == F.col("label")).cast("double"))
+    share = F.avg("label")
+    return said.agg(F.count(F.lit(1)).alias("documentos"), (right > F.greatest(share, 1 - share)).alias("melhor"))
+
+
 @check("TX3_label_distribution", f"""
     SELECT sentimento_modelo, COUNT(*) AS total,
       {half_up('(COUNT(*) * 100)', '(SELECT COUNT(*) FROM t_labelled)', 1)} AS pct FROM t_labelled GROUP BY 1""")

@@ -116,8 +116,11 @@ def sort_by(df: DataFrame, *order: Column | str) -> DataFrame:
 
 
 def sample_random_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
-    """``n`` rows in an order that depends only on key and seed, so a rerun picks the same rows."""
-    lottery = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
+    """``n`` rows in an order that depends only on key and seed, so a rerun picks the same rows.
+
+    The order is that of the MD5 of seed and keys joined by bars, which other engines can repeat.
+    """
+    lottery = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]).cast("binary"))
     return df.orderBy(lottery, *keys).limit(n)
 
 
