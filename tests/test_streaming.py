@@ -81,6 +81,26 @@ def test_cdc_query_feeds_the_table(spark, tmp_path, rows_of):
     assert run(("a", 1, "late"), ("b", 2, "z")) == [("a", 3, "X"), ("b", 2, "Z")]
 
 
+def test_fresh_checkpoint_replaces_no_earlier_batch(spark, tmp_path, rows_of):
+    schema = spark.createDataFrame([], "customer_id string, seq int, v string").schema
+    table = changes.ChangeTable(str(tmp_path / "t"), ["customer_id"], "seq")
+    for n, row in enumerate((("a", 1, "x"), ("b", 1, "y"))):  # the first source is gone when the second run starts
+        source = str(tmp_path / f"in{n}")
+        spark.createDataFrame([row], schema).write.parquet(source)
+        streams.run_available(changes.cdc_scd1(streams.stream_table_source(spark, source, schema), table, str(tmp_path / f"cp{n}")))
+    assert rows_of(table.current(spark), "customer_id", "seq", "v") == [("a", 1, "x"), ("b", 1, "y")]
+
+
+def test_complete_sink_keeps_the_newest_results(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for n in range(5):
+        spark.range(n + 1).write.mode("append").parquet(source)
+        counts = streams.stream_table_source(spark, source, spark.range(1).schema).groupBy().count()
+        streams.run_available(streams.stream_complete_sink(counts, out, str(tmp_path / "cp")))
+        assert streams.latest_batch(spark, out).first()[0] == sum(range(1, n + 2))
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["batch=3", "batch=4"]
+
+
 def _docs(spark, n=60):
     rnd = random.Random(4)
     rows = []

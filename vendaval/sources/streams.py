@@ -41,11 +41,17 @@ def stream_append_sink(
     return writer.trigger(availableNow=True).start(path)
 
 
-def stream_complete_sink(sdf: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Rewrite the whole aggregate each batch: batch ``n`` lands in ``batch=n``, a rerun replaces its own folder."""
+def stream_complete_sink(sdf: DataFrame, path: str, checkpoint: str, keep: int = 2) -> StreamingQuery:
+    """Rewrite the whole aggregate each batch: batch ``n`` lands in ``batch=n``, a rerun replaces its own folder.
+
+    The ``keep`` newest results stay, one for readers that began before the last one was there.
+    """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        system, folders = _published(batch.sparkSession, path)
+        for folder in folders[:-keep]:
+            system.delete(folder, True)
 
     return foreach_batch_sink(sdf, publish, checkpoint, "complete")
 
@@ -64,8 +70,22 @@ def run_available(*queries: StreamingQuery) -> None:
 
 
 def latest_batch(spark: SparkSession, path: str) -> DataFrame:
-    """Newest result of ``stream_complete_sink``. The batch number comes from folder names, not from data files."""
-    from pyspark.sql import functions as F
-
-    batches = spark.read.parquet(path)
-    return batches.where(F.col("batch") == batches.agg(F.max("batch")).scalar()).drop("batch")
+    """Newest complete result of ``stream_complete_sink``; the other folders are listed but not read."""
+    _system, folders = _published(spark, path)
+    if not folders:
+        raise FileNotFoundError(f"no complete batch in {path}")
+    return spark.read.parquet(folders[-1].toString())
+
+
+def _published(spark: SparkSession, path: str):
+    """The file system and the folders with a finished batch, oldest first. Order of writing, so that numbers may restart."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = []
+    for status in system.listStatus(root):
+        folder = status.getPath()
+        mark = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+        if folder.getName().startswith("batch=") and system.exists(mark):
+            number = int(folder.getName().removeprefix("batch="))
+            done.append((system.getFileStatus(mark).getModificationTime(), number, folder))
+    return system, [folder for _, _, folder in sorted(done, key=lambda d: d[:2])]
