@@ -191,6 +191,40 @@ def _(b):
     return profiles.top_values(b.table("orders"), ["o_orderstatus", "o_orderpriority"])
 
 
+# Windows of 30 days from the epoch.
+_W = "TIMESTAMP '1970-01-01' + INTERVAL 30 DAY * CAST(floor(epoch(o_orderdate) / 2592000) AS INTEGER)"
+
+
+@check("DQ11_profile_by_window", " UNION ALL ".join(
+    f"""SELECT CAST({_W} AS VARCHAR) AS window_start, CAST({_W} + INTERVAL 30 DAY AS VARCHAR) AS window_end, '{c}' AS column_name,
+      '{kind}' AS data_type, COUNT(*) AS num_rows, COUNT(*) - COUNT({c}) AS num_nulls, MIN({n}) AS min, MAX({n}) AS max,
+      round(avg({n}), 3) AS mean, round(stddev({n}), 2) AS stddev FROM orders GROUP BY {_W}"""
+    for c, kind, n in (
+        ("o_totalprice", "double", "CAST(o_totalprice AS DOUBLE)"), ("o_orderstatus", "string", "CAST(NULL AS DOUBLE)"))))
+def _(b):
+    report = profiles.profile_by_window(b.table("orders"), "o_orderdate", ["o_totalprice", "o_orderstatus"])
+    return report.withColumns({"mean": F.round("mean", 3), "stddev": F.round("stddev", 2)})
+
+
+@check("DQ12_drift_by_window", f"""
+    WITH n AS (SELECT {_W} AS w, 'o_orderpriority' AS column_name, o_orderpriority AS value, COUNT(*) AS n FROM orders GROUP BY 1, 3),
+    nexts AS (SELECT w, lead(w) OVER (ORDER BY w) AS nw FROM (SELECT DISTINCT w FROM n)),
+    freq AS (SELECT w, column_name, value, SUM(b) AS b, SUM(c) AS c FROM (
+        SELECT w, column_name, value, 0 AS b, n AS c FROM n
+        UNION ALL SELECT nw, column_name, value, n, 0 FROM n JOIN nexts USING (w) WHERE nw IS NOT NULL) GROUP BY 1, 2, 3),
+    shares AS (SELECT *, SUM(b) OVER (PARTITION BY w) AS bt, SUM(c) OVER (PARTITION BY w) AS ct FROM freq),
+    pq AS (SELECT *, greatest(CAST(c AS DOUBLE) / ct, 1e-6) AS p, greatest(CAST(b AS DOUBLE) / bt, 1e-6) AS q,
+             CAST(b + c AS DOUBLE) * bt / (bt + ct) AS eb, CAST(b + c AS DOUBLE) * ct / (bt + ct) AS ec FROM shares WHERE bt > 0 AND ct > 0)
+    SELECT CAST(w AS VARCHAR) AS window_start, CAST(w + INTERVAL 30 DAY AS VARCHAR) AS window_end, column_name,
+      round(SUM(p * ln(p / q)), 8) AS kl_divergence,
+      round(sqrt(SUM((p * ln(p / ((p + q) / 2)) + q * ln(q / ((p + q) / 2))) / 2)), 8) AS js_distance,
+      round(SUM(pow(b - eb, 2) / eb + pow(c - ec, 2) / ec), 6) AS chi_squared, COUNT(*) - 1 AS degrees,
+      'CONSECUTIVE' AS drift_type FROM pq GROUP BY w, column_name""")
+def _(b):
+    report = profiles.drift_by_window(b.table("orders"), "o_orderdate", ["o_orderpriority"])
+    return report.withColumns({c: F.round(c, d) for c, d in (("kl_divergence", 8), ("js_distance", 8), ("chi_squared", 6))})
+
+
 @check("DQ12_drift", """
     WITH base AS (SELECT o_orderstatus AS s, o_orderpriority AS p FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
     cur AS (SELECT o_orderstatus AS s, o_orderpriority AS p FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -88,21 +88,76 @@ def drift(baseline: DataFrame, current: DataFrame, columns: Sequence[str], floor
     base = _frequencies(baseline, columns, "b").withColumn("c", F.lit(0).cast("bigint"))
     cur = _frequencies(current, columns, "c").withColumn("b", F.lit(0).cast("bigint"))
     pairs = base.unionByName(cur).groupBy("column_name", "value").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
-    totals = pairs.groupBy("column_name").agg(F.sum("b").alias("bt"), F.sum("c").alias("ct"))
-    # One row per listed column, so the totals are small whatever the data.
-    joined = pairs.join(F.broadcast(totals), "column_name")
+    return _divergence(pairs, [], floor)
+
+
+def _divergence(pairs: DataFrame, by: Sequence[str], floor: float) -> DataFrame:
+    """``pairs`` (by, column_name, value, b, c) to the measures of each column. Sides without any row give no row."""
+    keys = [*by, "column_name"]
+    totals = pairs.groupBy(*keys).agg(F.sum("b").alias("bt"), F.sum("c").alias("ct")).where("bt > 0 AND ct > 0")
+    joined = pairs.join(totals, keys)
     p = F.greatest(F.col("c") / F.col("ct"), F.lit(floor))
     q = F.greatest(F.col("b") / F.col("bt"), F.lit(floor))
-    shares = joined.select("column_name", "b", "c", "bt", "ct", p.alias("p"), q.alias("q"))
+    shares = joined.select(*keys, "b", "c", "bt", "ct", p.alias("p"), q.alias("q"))
     m = (F.col("p") + F.col("q")) / 2
     expected_b = (F.col("b") + F.col("c")) * F.col("bt") / (F.col("bt") + F.col("ct"))
     expected_c = (F.col("b") + F.col("c")) * F.col("ct") / (F.col("bt") + F.col("ct"))
     kl = F.col("p") * F.log(F.col("p") / F.col("q"))
     js = (F.col("p") * F.log(F.col("p") / m) + F.col("q") * F.log(F.col("q") / m)) / 2
     chi = F.pow(F.col("b") - expected_b, 2) / expected_b + F.pow(F.col("c") - expected_c, 2) / expected_c
-    return shares.groupBy("column_name").agg(
+    return shares.groupBy(*keys).agg(
         F.sum(kl).alias("kl_divergence"),
         F.sqrt(F.greatest(F.sum(js), F.lit(0.0))).alias("js_distance"),
         F.sum(chi).alias("chi_squared"),
         (F.count(F.lit(1)) - 1).alias("degrees"),
     )
+
+
+def windows_of(df: DataFrame, ts: str, width: str) -> DataFrame:
+    """All columns and the tumbling window of ``ts``: window_start, window_end. Rows without a time are left out."""
+    marked = df.where(F.col(ts).isNotNull()).withColumn("_w", F.window(F.col(ts).cast("timestamp"), width))
+    return marked.withColumns({"window_start": F.col("_w.start"), "window_end": F.col("_w.end")}).drop("_w")
+
+
+def profile_by_window(df: DataFrame, ts: str, columns: Sequence[str], width: str = "30 days") -> DataFrame:
+    """Rows, missing, minimum, maximum, mean and deviation per time window and column, with the column's type.
+
+    One aggregation with a map-side part; its groups are windows.
+    """
+    kinds = dict(df.dtypes)
+    number = {c: F.lit(None).cast("double") if kinds[c] in ("string", "boolean", "date") or kinds[c].startswith("timestamp") else F.col(c).cast("double") for c in columns}
+    measures = {
+        "num_rows": lambda c: F.count(F.lit(1)), "num_nulls": lambda c: F.count_if(F.col(c).isNull()), "min": lambda c: F.min(number[c]),
+        "max": lambda c: F.max(number[c]), "mean": lambda c: F.avg(number[c]), "stddev": lambda c: F.stddev_samp(number[c]),
+    }
+    wide = windows_of(df, ts, width).groupBy("window_start", "window_end").agg(
+        *[f(c).alias(f"{i}_{name}") for i, c in enumerate(columns) for name, f in measures.items()]
+    )
+    entries = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(kinds[c]).alias("data_type"), *[F.col(f"{i}_{name}").alias(name) for name in measures])
+        for i, c in enumerate(columns)
+    ]
+    return wide.select("window_start", "window_end", F.inline(F.array(*entries)))
+
+
+def drift_by_window(df: DataFrame, ts: str, columns: Sequence[str], width: str = "30 days", floor: float = 1e-6) -> DataFrame:
+    """``drift`` of each time window against the one before it that has rows; drift_type says so.
+
+    Frequencies are made once; each serves its own window and, shifted, the next. The first window has none before it.
+    """
+    marked = windows_of(df, ts, width)
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
+    counts = marked.select("window_start", "window_end", F.inline(F.array(*cells))).where("value IS NOT NULL")
+    counts = counts.groupBy("window_start", "window_end", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    # One row per window: as many as the calendar has.
+    each = marked.select("window_start", "window_end").distinct()
+    order = Window.orderBy("window_start")
+    following = each.select("window_start", F.lead("window_start").over(order).alias("_s"), F.lead("window_end").over(order).alias("_e"))
+    zero = F.lit(0).cast("bigint")
+    own = counts.select("window_start", "window_end", "column_name", "value", zero.alias("b"), F.col("n").alias("c"))
+    before = counts.join(following.where("_s IS NOT NULL"), "window_start").select(
+        F.col("_s").alias("window_start"), F.col("_e").alias("window_end"), "column_name", "value", F.col("n").alias("b"), zero.alias("c")
+    )
+    keys = ["window_start", "window_end"]
+    pairs = own.unionByName(before).groupBy(*keys, "column_name", "value").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
+    return _divergence(pairs, keys, floor).withColumn("drift_type", F.lit("CONSECUTIVE"))

@@ -5,9 +5,11 @@ Nothing here overwrites a path that it reads: results go to a new folder or to a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from datetime import timedelta
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -149,8 +151,8 @@ def _interleaved(buckets: Sequence[Column], bits: int) -> Column:
 def cluster_by(df: DataFrame, columns: Sequence[str], files: int, bits: int = 8) -> DataFrame:
     """Rows ordered for file skipping: by range for one column, along a z-order curve for several.
 
-    Curve positions come from approximate quantiles of each column (2**bits cut points as literals), so buckets hold
-    like numbers of rows. Runs one job for several columns. Numbers, dates and timestamps only.
+    Curve positions come from approximate quantiles of each column (2**bits cut points, found by binary search), so
+    buckets hold like numbers of rows. Runs one job for several columns. Numbers, dates and timestamps only.
     """
     if len(columns) == 1:
         return df.repartitionByRange(files, columns[0]).sortWithinPartitions(columns[0])
@@ -158,12 +160,13 @@ def cluster_by(df: DataFrame, columns: Sequence[str], files: int, bits: int = 8)
     cuts = [i / size for i in range(1, size)]
     number = {c: _as_number(df, c) for c in columns}
     row = df.agg(*[F.percentile_approx(number[c], cuts, 10 * size).alias(c) for c in columns]).first()
-    buckets = []
-    for c in columns:
-        points = F.array(*[F.lit(float(x)) for x in sorted(set(row[c] or []))])
-        bucket = F.size(F.filter(points, lambda p, v=number[c]: p < v))
-        buckets.append(F.coalesce(bucket, F.lit(0)))
-    placed = df.withColumn("_z", _interleaved(buckets, bits))
+    inputs, outputs = [f"_n{i}" for i in range(len(columns))], [f"_b{i}" for i in range(len(columns))]
+    splits = [[-math.inf, *(sorted({float(x) for x in row[c] or []}) or [0.0]), math.inf] for c in columns]
+    buckets = Bucketizer(inputCols=inputs, outputCols=outputs, splitsArray=splits, handleInvalid="keep")
+    marked = buckets.transform(df.withColumns({n: number[c] for n, c in zip(inputs, columns)}))
+    # A missing value goes to the first bucket.
+    known = [F.when(F.col(n).isNull() | F.isnan(n), 0).otherwise(F.col(b)).cast("int") for n, b in zip(inputs, outputs)]
+    placed = marked.withColumn("_z", _interleaved(known, bits)).drop(*inputs, *outputs)
     return placed.repartitionByRange(files, "_z", *columns).sortWithinPartitions("_z", *columns).drop("_z")
 
 

@@ -155,7 +155,7 @@ def seller_metrics(items: DataFrame, orders: DataFrame, order_grain: bool = Fals
 
     delays = F.sum(F.when(delay.isNotNull(), n))
     return lines.join(state, "order_id").groupBy("seller_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
+        F.count("order_id").alias("total_orders"),
         tally(F.col("order_status") == "delivered").alias("delivered_orders"),
         tally(F.col("order_status") == "canceled").alias("canceled_orders"),
         tally(F.col("status_entrega") == "no_prazo").alias("on_time_orders"),
