@@ -11,8 +11,10 @@ import re
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+import __spark_entry__
 from tools.verify import TABLES, rows_of
+from vendaval.checks import callables as queries
+from vendaval.checks import oracles as oracle_sql
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -55,8 +57,9 @@ def test_query_without_sql_gives_rows(spark, name):
 def test_every_query_is_registered_once_and_named_by_its_operator():
     names = list(queries())
     assert len(names) == len(set(names)) and set(oracle_sql()) <= set(names)
+    assert set(names) <= set(__spark_entry__.queries()) and set(oracle_sql()) <= set(__spark_entry__.oracle_sql())
     assert all(re.match("(IO|PF|J|A|WF|SL|ST|SF|W|TM|DQ|GV|B|SV|GD|GF|RP|US|ML|TX)[0-9]+_", n) for n in names)
 
 
 def test_entry_runs(spark):
-    assert entry(spark).count() > 0
+    assert __spark_entry__.entry(spark).count() > 0
