@@ -59,6 +59,14 @@ def test_near_duplicates_against_all_pairs(spark):
     assert neardup.near_duplicates(df.where("false")).count() == 0
 
 
+def test_a_key_with_several_texts(spark):
+    """Each text is judged by itself: the key's rows may belong to different groups."""
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(5, a), (5, b), (3, a + " more"), (4, b), (9, "c " * 20)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(3, 3, True), (4, 4, True), (5, 3, False), (5, 4, False), (9, 9, True)]
+
+
 def test_dense_region_keeps_together(spark):
     """Far more near copies than a neighbourhood reaches, all one group; and one that only resembles them."""
     rng = random.Random(5)

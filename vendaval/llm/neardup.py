@@ -1,7 +1,7 @@
 """Near-duplicate groups of documents by an LSH forest of min-hash signatures.
 
 1. A task turns whole texts into sets of hashed word shingles; a document keeps its set's size, fingerprint and signature.
-   Documents with equal sets form one class, whose least id stands for it, however many copies there are.
+   Documents with equal sets form one class, however many copies there are.
 2. Each tree of the forest is the classes in the order of the signature rotated to another start. Neighbours in that order
    that share at least MIN_DEPTH leading values are candidates. Where a region is thin, the neighbours within reach are the
    whole region; where it is dense, the reach ends at deeper common prefixes. The order is a range sort that ends with the
@@ -188,7 +188,8 @@ def candidates(classes: DataFrame, threshold: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """id, members (sorted hashes) of the wanted (id, print): their texts are read again, their full sets made again."""
+    """id, members (sorted hashes) of the wanted (id, least, print): a row of each class, the one with its least key, is
+    read again and its full set made again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordHashes()
@@ -197,7 +198,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             same = [i for i, (s, p) in enumerate(zip(sets, batch.column("print").to_pylist())) if xxhash.xxh3_128_digest(s) == p]
             yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(same, pa.int64())), pa.array([sets[i] for i in same], pa.binary())], names=["id", "members"])
 
-    return docs.join(wanted, "id").select("id", "text", "print").mapInArrow(run, "id long, members binary").dropDuplicates(["id"])
+    rows = docs.select(F.col("id").alias("least"), "text").join(wanted, "least").select("id", "text", "print")
+    return rows.mapInArrow(run, "id long, members binary").dropDuplicates(["id"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -237,12 +239,15 @@ def near_duplicates(df: DataFrame, size: int = 5, threshold: int = 80, key: str
     marks = cut_lineage(_marks(docs, size), "marks")
     usable = F.col("id").isNotNull() & F.col("print").isNotNull()
     classes = cut_lineage(
-        marks.where(usable).groupBy("print").agg(F.min("id").alias("id"), F.max("n_shingles").alias("n_shingles"), F.max("signature").alias("signature")),
+        marks.where(usable)
+        .groupBy("print")
+        .agg(F.min("id").alias("least"), F.max("n_shingles").alias("n_shingles"), F.max("signature").alias("signature"))
+        .withColumn("id", F.xxhash64("print")),  # a number of its own for each set; keys may repeat
         "classes",
     )
     pairs = cut_lineage(candidates(classes, threshold), "pairs")
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = cut_lineage(_sets(docs.where("id IS NOT NULL"), classes.join(ends, "id").select("id", "print"), size), "sets")
+    sets = cut_lineage(_sets(docs.where("id IS NOT NULL"), classes.join(ends, "id").select("id", "least", "print"), size), "sets")
 
     judged, labels, left = None, None, pairs
     for most in ROUNDS:
@@ -258,7 +263,8 @@ def near_duplicates(df: DataFrame, size: int = 5, threshold: int = 80, key: str
         judged = done if judged is None else judged.union(done)
         labels = components(judged.where("linked"))
 
-    named = classes.join(labels, "id", "left").select("print", F.coalesce("component", "id").alias("component_id"))
+    named = classes.join(labels, "id", "left").select("print", "least", F.coalesce("component", "id").alias("c"))
+    named = named.join(named.groupBy("c").agg(F.min("least").alias("component_id")), "c").select("print", "component_id")
     return marks.join(named, "print", "left").select(
         F.col("id").alias(key),
         "n_shingles",
@@ -268,6 +274,9 @@ def near_duplicates(df: DataFrame, size: int = 5, threshold: int = 80, key: str
 
 
 def deduplicate(df: DataFrame, size: int = 5, threshold: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``df`` whose key is the least of its group, and rows without a key; all columns as they are."""
+    """Rows of ``df`` whose key is the least of its group, and rows without a key; all columns as they are.
+
+    A key that repeats with several texts goes if one of them does.
+    """
     gone = near_duplicates(df, size, threshold, key, text).where("NOT kept").select(F.col(key).alias("__gone"))
     return df.join(gone, df[key] == gone["__gone"], "left_anti")
