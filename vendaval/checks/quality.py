@@ -99,8 +99,8 @@ def _(b):
     return quality.pk_null_check({t: (getattr(b, t), k) for t, k in _KEYS.items()})
 
 
-def _tests_sql(table: str, name: str) -> str:
-    not_null, unique, accepted = gold.TESTS[name]
+def _tests_sql(table: str, name: str, declared=gold.TESTS) -> str:
+    not_null, unique, accepted = declared[name]
     parts = [f"SELECT 'not_null:{c}' AS test, COUNT(*) - COUNT({c}) AS failures FROM {table}" for c in not_null]
     parts += [
         f"SELECT 'unique:{c}', COUNT(*) FROM (SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"
@@ -191,6 +191,12 @@ def _(b):
     return profiles.top_values(b.table("orders"), ["o_orderstatus", "o_orderpriority"])
 
 
+for _name in silver.TESTS:
+    check(f"DQ9_staging_tests_{_name}", _tests_sql(f"s_{_name}", _name, silver.TESTS))(
+        lambda b, n=_name: quality.column_tests(getattr(b, n), *silver.TESTS[n])
+    )
+
+
 # Windows of 30 days from the epoch.
 _W = "TIMESTAMP '1970-01-01' + INTERVAL 30 DAY * CAST(floor(epoch(o_orderdate) / 2592000) AS INTEGER)"
 

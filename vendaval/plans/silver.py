@@ -12,6 +12,16 @@ from ..functions import scalars as S
 from ..operators import aggregates, joins
 from ..operators.quality import RuleSet
 
+# Declared tests per clean table (not null, unique, accepted values).
+TESTS = {
+    "orders": (["order_id", "customer_id"], ["order_id"], {}),
+    "customers": (["customer_id"], ["customer_id"], {}),
+    "products": (["product_id"], ["product_id"], {}),
+    "sellers": (["seller_id"], ["seller_id"], {}),
+    "reviews": (["review_id", "order_id"], [], {}),
+    "items": (["order_id", "product_id", "seller_id"], [], {}),
+}
+
 # Rule names and predicates per table.
 RULES = {
     "orders": RuleSet(
