@@ -81,6 +81,28 @@ def test_dense_region_keeps_together(spark):
     assert got == {**dict.fromkeys(range(600), 0), 1000: 1000}
 
 
+def test_template_family_just_below_the_threshold(spark):
+    """Far more rows share a passage than the reach has, each pair just under the threshold; planted pairs are just above."""
+    rows, want = [], {}
+    for i in range(1600):
+        tail = [f"t{i}x{k}" for k in range(18)]
+        if i >= 1500:  # shares 6 shingles with its partner besides the passage
+            partner = i - 1400
+            tail[:6] = [f"t{partner}x{k}" for k in range(6)]
+            want[i] = partner
+        rows.append((i, " ".join([f"w{k}" for k in range(150)] + tail)))
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 85).collect()}
+    assert got == {i: want.get(i, i) for i in range(1600)}
+
+
+def test_blocks_of_components_are_linked():
+    sets = [np.arange(a, a + 100, dtype="u8") for a in (0, 5, 40, 45, 1000)]
+    own = np.array([1, 2, 3, 3, 4])
+    assert neardup.linked_components((own, sets), None, 80) == [(1, 2)]
+    assert neardup.linked_components((own[:1], sets[:1]), (own[1:], sets[1:]), 80) == [(1, 2)]
+    assert neardup.linked_components((own[:2], sets[:2]), (own[4:], sets[4:]), 80) == []
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, k) for k in range(200, 260)] + [(300, 301), (301, 300), (7, 7), (None, 4)]
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -8,6 +8,8 @@
    class id, so a dense region spreads over tasks; boundary rows meet their successors in groups of bounded size.
 3. Candidates whose signatures agree enough are confirmed on the full sets, the best few of each class first. Pairs whose
    ends are already in one component need no confirmation; all others get it.
+4. A region wider than the reach that still has several components is compared whole, component against component on the
+   full sets: its rows are dealt into blocks of bounded size, and each pair of blocks is one task's group.
 """
 
 from __future__ import annotations
@@ -30,12 +32,14 @@ from .components import components
 WIDTH, TREES = 64, 16
 #: A candidate shares at least so many leading values in one tree. At similarity 0.8 all trees miss a pair in 1 of 90,000.
 MIN_DEPTH = 3
-#: Neighbours looked at on either side in one tree. Regions with fewer rows are compared whole.
+#: Neighbours looked at on either side in one tree. Regions with fewer rows are compared whole at once, wider ones by blocks.
 REACH = 8
+#: Rows and shingles of a block of a wide region; columns of a matrix of two blocks' shingles.
+BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 256, 1 << 21, 8192
 #: Signatures may agree this much less than the threshold (over 4 standard deviations of the estimate).
 SLACK = 0.22
-#: Rows of a tree in one task.
-TREE_ROWS = 250_000
+#: Most and least rows of a tree in one task, on average; the least is far above 2 * REACH, so that a reach ends in the next task.
+TREE_ROWS, LEAST_ROWS = 250_000, 1000
 #: Candidates of a class that are confirmed in each round; the last round takes all that are left.
 ROUNDS = (3, 24, None)
 REMEMBERED = 300_000
@@ -136,14 +140,20 @@ def _key_matrix(keys: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(keys), "u2").reshape(len(keys), WIDTH)
 
 
-def candidates(classes: DataFrame, threshold: int) -> DataFrame:
-    """a, b, agree: distinct candidate pairs of ``classes`` (id, n_shingles, signature)."""
-    parts = max(1, -(-classes.count() * TREES // TREE_ROWS))
+def _trees(classes: DataFrame) -> DataFrame:
+    """tree, key (the rotated signature), id, n_shingles: each of ``classes`` once in every tree."""
     shift = 2 * WIDTH // TREES
-    trees = classes.select("id", "n_shingles", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select(
+    return classes.select("id", "n_shingles", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select(
         "tree", F.expr(f"concat(substring(signature, tree * {shift} + 1), substring(signature, 1, tree * {shift}))").alias("key"), "id", "n_shingles"
     )
-    ordered = trees.repartitionByRange(max(parts, int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
+
+
+def candidates(classes: DataFrame, threshold: int) -> DataFrame:
+    """a, b, agree: distinct candidate pairs of ``classes`` (id, n_shingles, signature) within the reach."""
+    rows = classes.count() * TREES
+    usual = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, -(-rows // TREE_ROWS), min(usual, rows // LEAST_ROWS))
+    ordered = _trees(classes).repartitionByRange(parts, "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs within the task; and its first and last rows, under the number of the boundary that they touch."""
@@ -228,6 +238,100 @@ def _round(open_pairs: DataFrame, most: int | None) -> DataFrame:
     return ends.withColumn("r", F.row_number().over(best)).where(F.col("r") <= most).select("a", "b").distinct()
 
 
+def _wide_regions(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """region, block, whole, id, component: rows of the regions that are wider than the reach and have several components.
+
+    A component that fills a block has blocks of its own (``whole`` is the component), all others share blocks.
+    """
+    rows = _trees(classes).select("tree", F.substring("key", 1, 2 * MIN_DEPTH).alias("start"), "id", "n_shingles")
+    wide = rows.groupBy("tree", "start").count().where(F.col("count") > REACH + 1).select("tree", "start", F.xxhash64("tree", "start").alias("region"))
+    inside = cut_lineage(
+        rows.join(wide, ["tree", "start"]).join(labels, "id", "left").select("region", "id", "n_shingles", F.coalesce("component", "id").alias("component")),
+        "inside",
+    )
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("volume") / BLOCK_SHINGLES))
+    parts = inside.groupBy("region", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("volume")).withColumn("own", blocks)
+    shared = (
+        parts.groupBy("region")
+        .agg(F.count("*").alias("many"), *[F.sum(F.when(F.col("own") == 1, F.col(c)).otherwise(0)).alias(c) for c in ("n", "volume")])
+        .where("many > 1")
+        .select("region", blocks.alias("pool"))
+    )
+    plan = parts.select("region", "component", "own").join(shared, "region")
+    alone = F.col("own") > 1
+    block = F.when(alone, F.xxhash64("component", F.pmod(F.xxhash64("id"), "own"))).otherwise(F.pmod(F.xxhash64("component"), "pool"))
+    return inside.join(plan, ["region", "component"]).select("region", block.alias("block"), F.when(alone, F.col("component")).alias("whole"), "id", "component")
+
+
+def linked_components(left: tuple, right: tuple | None, threshold: int) -> list[tuple[int, int]]:
+    """Pairs of components that a link joins, enough of them to connect all that links connect.
+
+    ``left`` and ``right`` are (components, sets) of two blocks; None for ``right`` compares a block with itself.
+    """
+    (own, sets), (other, others) = left, right or left
+    lengths, widths = (np.fromiter(map(len, s), "i8", len(s)) for s in (sets, others))
+    flat, flats = np.concatenate(sets), np.concatenate(others)
+    if right is None:
+        values, times = np.unique(flat, return_counts=True)
+        common = values[times > 1]
+    else:
+        common = np.intersect1d(flat, flats)
+
+    def entries(flat, lengths):
+        at = np.searchsorted(common, flat)
+        hit = at < len(common)
+        hit[hit] = common[at[hit]] == flat[hit]
+        column, row = at[hit], np.repeat(np.arange(len(lengths)), lengths)[hit]
+        order = np.argsort(column, kind="stable")
+        return column[order], row[order]
+
+    (c, r), (d, q) = entries(flat, lengths), entries(flats, widths)
+    shared = np.zeros((len(sets), len(others)))
+    for s in range(0, len(common), COLUMNS):
+        x, y = (np.zeros((n, min(COLUMNS, len(common) - s)), "f4") for n in shared.shape)
+        for table, columns, rows in ((x, c, r), (y, d, q)):
+            a, b = np.searchsorted(columns, (s, s + COLUMNS))
+            table[rows[a:b], columns[a:b] - s] = 1
+        shared += x @ y.T
+    good = (100 * shared >= threshold * (lengths[:, None] + widths - shared)) & (own[:, None] != other)
+    i, j = np.nonzero(good)
+    root: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while (up := root.get(v, v)) != v:
+            root[v] = v = root.get(up, up)
+        return v
+
+    out = []
+    for a, b in zip(own[i].tolist(), other[j].tolist()):
+        u, v = find(a), find(b)
+        if u != v:
+            root[u] = v
+            out.append((a, b))
+    return out
+
+
+def _across(placed: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """a, b: components that links join, from all pairs of rows of ``placed`` with a region in common."""
+    blocks = placed.select("region", "block", "whole").distinct()
+    first = blocks.select("region", F.col("block").alias("x"), F.col("whole").alias("wx"))
+    second = blocks.select("region", F.col("block").alias("y"), F.col("whole").alias("wy"))
+    pairs = first.join(second, "region").where("x <= y AND coalesce(wx <> wy, true)").select("region", "x", "y", F.xxhash64("region", "x", "y").alias("pair"))
+    sides = pairs.select("region", "pair", F.lit(0).alias("side"), F.col("x").alias("block")).union(
+        pairs.where("x < y").select("region", "pair", F.lit(1).alias("side"), F.col("y").alias("block"))
+    )
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        halves = []
+        for side in (0, 1):
+            half = rows[rows["side"] == side]
+            halves.append((half["component"].to_numpy(), [np.frombuffer(m, "u8") for m in half["members"]]) if len(half) else None)
+        return pd.DataFrame(linked_components(*halves, threshold), columns=["a", "b"], dtype="int64")
+
+    met = sides.join(placed.select("region", "block", "id", "component"), ["region", "block"]).select("pair", "side", "id", "component")
+    return met.join(sets, "id").select("pair", "side", "component", "members").groupBy("pair").applyInPandas(compare, "a long, b long")
+
+
 def near_duplicates(df: DataFrame, size: int = 5, threshold: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles, component_id, kept for each row of ``df``; linked are sets with similarity of ``threshold`` % or more.
 
@@ -247,7 +351,8 @@ def near_duplicates(df: DataFrame, size: int = 5, threshold: int = 80, key: str
     )
     pairs = cut_lineage(candidates(classes, threshold), "pairs")
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = cut_lineage(_sets(docs.where("id IS NOT NULL"), classes.join(ends, "id").select("id", "least", "print"), size), "sets")
+    full = lambda ids, name: cut_lineage(_sets(docs.where("id IS NOT NULL"), classes.join(ids, "id").select("id", "least", "print"), size), name)
+    sets = full(ends, "sets")
 
     judged, labels, left = None, None, pairs
     for most in ROUNDS:
@@ -263,6 +368,13 @@ def near_duplicates(df: DataFrame, size: int = 5, threshold: int = 80, key: str
         judged = done if judged is None else judged.union(done)
         labels = components(judged.where("linked"))
 
+    placed = cut_lineage(_wide_regions(classes, labels), "placed")
+    if not placed.isEmpty():
+        more = full(placed.select("id").distinct().join(sets, "id", "left_anti"), "more")
+        found = cut_lineage(_across(placed, sets.union(more), threshold), "across")
+        if not found.isEmpty():
+            labels = components(judged.where("linked").select("a", "b").union(found))
+
     named = classes.join(labels, "id", "left").select("print", "least", F.coalesce("component", "id").alias("c"))
     named = named.join(named.groupBy("c").agg(F.min("least").alias("component_id")), "c").select("print", "component_id")
     return marks.join(named, "print", "left").select(
