@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from vendaval.llm import bpe, language, lm, nearest, neardup
+from vendaval.llm import bpe, language, lm, mixing, nearest, neardup
 from vendaval.llm.components import components
 from vendaval.llm.queries import VOCABULARY
+from vendaval.session import cut_lineage
 
 from . import helpers
 
@@ -203,6 +204,21 @@ def test_pipeline_against_plain_steps(spark):
     assert sorted(tuple(r) for r in got) == sorted(want)
 
 
+def test_pipeline_returns_the_mix_in_its_order(spark):
+    """After the files are read back, in the order Spark likes: three sources with equal words stay side by side."""
+    rows = [(i, "word " * (4000 + 10 * i), "en", "abc"[i % 3], 1) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    again = cut_lineage(corpus_pipeline.source_mix(spark, docs, ""), "mixed")
+    got = [r.doc_id for r in corpus_pipeline.bpe_round_trip(spark, again, "").collect()]
+    assert sorted(got) == list(range(90))
+    slots = {r.doc_id: r.slot for r in mixing.schedule_of(docs).collect()}
+    assert [slots[i] for i in got] == sorted(slots.values())
+    words = Counter()
+    for i in got:
+        words["abc"[i % 3]] += 4000 + 10 * i
+        assert max(words.values()) - min(words[s] for s in "abc") <= 2 * (mixing.BLOCK_WORDS + 4900)
+
+
 def test_pipeline_stages_on_odd_rows(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, words int, block string, slot int, ids string, measures int"
     plain = "the quick brown fox jumps over the lazy dog near the old river bank today"
