@@ -130,6 +130,15 @@ def test_lm_counts_and_gain(spark):
     assert sum(r.score for r in out) > 0.95 * sum(r.base_score for r in out)
 
 
+def test_lm_blocks_are_bounded(spark):
+    """One row repeated in a single partition, as in one large file: more bytes than a block may have."""
+    same = spark.range(0, 9000, 1, 1).select(F.lit(1).alias("doc_id"), F.repeat(F.lit("word "), 1000).alias("text"), F.lit(True).alias("learn"))
+    few = spark.createDataFrame([(2, "a b", True), (None, None, False)], "doc_id int, text string, learn boolean")
+    got = lm.in_blocks(same.union(few)).groupBy("block").agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in got) == 9002 and sum(r.bytes or 0 for r in got) == 45_000_003
+    assert max(r.bytes or 0 for r in got) <= lm.BLOCK_BYTES + 5000
+
+
 def test_lm_without_training_rows(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = {r.doc_id: r for r in lm.scores(df, F.lit(False)).collect()}

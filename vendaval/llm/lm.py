@@ -22,9 +22,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .batches import byte_texts, fold, slices
@@ -48,8 +51,8 @@ STEP, BATCH = 0.4, 8192
 TRAINERS = 4096
 #: Weight rows averaged together.
 CHUNK = 128
-#: Text bytes that share one dictionary when scored.
-BLOCK_BYTES = 16 << 20
+#: Text bytes that share one dictionary when scored, and what a row counts besides its text.
+BLOCK_BYTES, ROW_BYTES = 16 << 20, 64
 FLUSH = 400_000
 #: The token that closes every text. It has a separator in it, so no word equals it.
 END = b"\n"
@@ -156,6 +159,26 @@ def _flat(texts: list[bytes | None], cells: Cells) -> tuple[np.ndarray, np.ndarr
     return flat, np.cumsum(lengths) - lengths
 
 
+def in_blocks(docs: DataFrame) -> DataFrame:
+    """All columns and ``block``: rows of one task in their order, a new block after every BLOCK_BYTES.
+
+    A block is never larger than that and one text, whatever the sizes of files and however often a row is repeated. The
+    number follows the order of rows, so write the result before it is used twice.
+    """
+    keep = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, met = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            if batch.num_rows:
+                sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype("i8") + ROW_BYTES
+                ends = met + np.cumsum(sizes)
+                met = int(ends[-1])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first + (ends - sizes) // BLOCK_BYTES, pa.int64())], names=[*keep, "block"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("block", T.LongType())]))
+
+
 def block_words(docs: DataFrame) -> DataFrame:
     """block, word, n: distinct words of each block (``block``, ``learn``, ``text``), n their count in its training texts.
 
@@ -239,11 +262,7 @@ def scores(df: DataFrame, use: Column, key: str = "doc_id", text: str = "text")
     Repeated rows and null keys each get their row. Runs several jobs and writes to the shared folder.
     """
     docs = df.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), use.alias("learn"))
-    files = docs.withColumn("file", F.input_file_name())
-    sized = files.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count_distinct("file").alias("files")).first()
-    per_file = max(1, -(-(sized.bytes or 0) // max(1, sized.files) // BLOCK_BYTES))
-    # A block is a pure function of the row. Rows of one file share few blocks, so tasks meet few dictionaries.
-    docs = files.withColumn("block", F.xxhash64("file", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(per_file)))).drop("file")
+    docs = cut_lineage(in_blocks(docs), "blocks")  # written once: a row keeps its block in every pass
 
     by_word = Window.partitionBy("word")
     counted = cut_lineage(
