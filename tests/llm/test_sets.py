@@ -181,6 +181,16 @@ def test_nearest_recall_and_ties(spark):
     assert hit >= 0.9 * total
 
 
+def test_nearest_recall_on_uneven_norms():
+    rng = np.random.default_rng(2)
+    for sigma in (0, 0.25, 0.5, 1):
+        x = rng.normal(size=(8192, 64))
+        x *= np.exp(sigma * rng.normal(size=(8192, 1))) / np.linalg.norm(x, axis=1, keepdims=True)
+        block = nearest.Block(x, x[: nearest.PIVOTS])
+        hit = sum(len({*at[:20]} & {*np.argsort(-(x @ q))[:20]}) for q, (at, _) in zip(x[200:300], block.search(x[200:300], 20)))
+        assert hit >= 0.9 * 2000, (sigma, hit)
+
+
 def test_nearest_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.5, 0.0]), (20, [1.0, 1.0, 1.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in nearest.contract(df).orderBy("query_id", "rank").collect()] == [(0, 1, 1, 0.5), (0, 2, 2, 0.5)]

@@ -24,6 +24,8 @@ PREFIX = 64
 #: Part of a block that is reranked, and the least number. Measured recall at 20 on vectors without structure: 0.98 to 1.
 SHARE, LEAST = 0.25, 600
 INDEX_ROWS, QUERY_ROWS = 8192, 8192
+#: Rows of a block whose exact cosine tells what a footrule is worth, for each query.
+PROBES = 512
 
 
 def places(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -38,10 +40,18 @@ class Block:
     """The pivot inverted files of a block of vectors."""
 
     def __init__(self, vectors: np.ndarray, pivots: np.ndarray):
-        self.vectors, self.pivots = vectors, pivots
+        self.vectors, self.pivots, self.norms = vectors, pivots, np.linalg.norm(vectors, axis=1)
+        self.probe = np.unique(np.linspace(0, len(vectors) - 1, PROBES).astype("i8"))
         at = places(vectors, pivots)
         self.files = [(held := np.flatnonzero(column < PREFIX), column[held]) for column in at.T]
 
+    def estimates(self, query: np.ndarray, shared: np.ndarray) -> np.ndarray:
+        """Inner products by the footrule: a line fitted on the probes gives the cosine, times the norm; equal norms keep its order."""
+        at = self.probe
+        x, cosine = shared[at].astype("f8"), self.vectors[at] @ query / (self.norms[at] * np.linalg.norm(query))
+        slope = ((x - x.mean()) * (cosine - cosine.mean())).sum() / max(((x - x.mean()) ** 2).sum(), 1e-300)
+        return (cosine.mean() + max(slope, 1e-9) * (shared - x.mean())) * self.norms
+
     def search(self, queries: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query (rows of the block, exact products), nearest first; all rows that tie with the last one wanted."""
         out, keep = [], min(len(self.vectors), max(LEAST, int(SHARE * len(self.vectors))))
@@ -50,7 +60,7 @@ class Block:
             for pivot in np.flatnonzero(place < PREFIX):
                 held, there = self.files[pivot]
                 shared[held] += PREFIX - np.maximum(there, place[pivot])
-            found = np.argpartition(-shared, keep - 1)[:keep]
+            found = np.argpartition(-self.estimates(query, shared), keep - 1)[:keep]
             score = (self.vectors[found] * query).sum(1)
             if len(score) > most:
                 best = score >= np.partition(score, -most)[-most]
