@@ -70,13 +70,19 @@ def test_delivery_status(frame, at):
 def test_text_helpers(frame):
     df = frame("zip int, city string, code string", (1001, " São Paulo ", "a_b_c"), (123456, None, None), (None, "", "x"))
     got = df.select(
-        S.pad_zip("zip"), S.clean_lower("city"), S.underscores_to_spaces("code"), S.has_text("city"), S.longer_than("city", 0)
+        S.pad_zip("zip", keep_longer=True), S.clean_lower("city"), S.underscores_to_spaces("code"), S.has_text("city"), S.longer_than("city", 0)
     ).collect()
     assert tuple(got[0]) == ("01001", "são paulo", "a b c", True, True)
     assert tuple(got[1]) == ("123456", None, None, False, False)
     assert tuple(got[2]) == (None, "", "x", False, False)
 
 
+def test_postal_prefix_of_four_five_six_digits(frame):
+    df = frame("i int, zip string", (0, "1234"), (1, "12345"), (2, "123456"), (3, None), (4, ""))
+    got = [tuple(r) for r in df.orderBy("i").select(S.pad_zip("zip"), S.pad_zip("zip", keep_longer=True)).collect()]
+    assert got == [("01234", "01234"), ("12345", "12345"), ("12345", "123456"), (None, None), ("00000", "00000")]
+
+
 def test_bad_input_gives_null_not_an_error(frame):
     df = frame("ts string, m string, n int", ("2020-13-45", "abc", 0))
     got = df.select(S.to_ts("ts"), S.money("m"), S.percent(F.lit(1), F.col("n")), S.ratio(F.lit(1), F.col("n"), 2)).first()

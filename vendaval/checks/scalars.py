@@ -24,6 +24,13 @@ def _(b):
     return b.table("orders").select("o_orderkey", S.pad_zip(F.col("o_orderkey") * 97).alias("zip"))
 
 
+@check("SF2_pad_zip_keep_longer", """
+    SELECT o_orderkey, CASE WHEN length(z) < 5 THEN lpad(z, 5, '0') ELSE z END AS zip
+    FROM (SELECT o_orderkey, CAST(o_orderkey * 97 AS VARCHAR) AS z FROM orders)""")
+def _(b):
+    return b.table("orders").select("o_orderkey", S.pad_zip(F.col("o_orderkey") * 97, keep_longer=True).alias("zip"))
+
+
 @check("SF3_underscores_to_spaces", """
     SELECT product_id, replace(product_category_name, '_', ' ') AS nome FROM b_products""")
 def _(b):

@@ -26,10 +26,14 @@ def clean_upper(value: Column | str) -> Column:
     return F.upper(F.trim(as_column(value)))
 
 
-def pad_zip(value: Column | str, width: int = 5) -> Column:
-    """Zero-padded postal prefix. Longer input stays as it is."""
+def pad_zip(value: Column | str, width: int = 5, keep_longer: bool = False) -> Column:
+    """Postal prefix of exactly ``width`` characters: zeros on the left, longer input cut on the right as SQL's lpad does.
+
+    ``keep_longer`` leaves longer input as it is.
+    """
     text = as_column(value).cast("string")
-    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+    padded = F.lpad(text, width, "0")
+    return F.when(F.length(text) > width, text).otherwise(padded) if keep_longer else padded
 
 
 def underscores_to_spaces(value: Column | str) -> Column:
