@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, language, lm, mixing, nearest, neardup, quality, tokenfiles, urls
+from . import bpe, chat, language, lm, merkle, mixing, nearest, neardup, quality, tokenfiles, urls
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Its end-of-text id.
@@ -58,6 +58,10 @@ def op10_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return chat.renderings(table(spark, folder, "conversations"))
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.proofs(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -71,10 +75,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_ledger,
         op9_nearest,
         op10_chat_perspectives,
+        op13_merkle_manifest,
     )
 }
 ORACLES: dict[str, str] = {
     "op5_url_filter": urls.SQL,
     "op10_chat_perspectives": chat.SQL,
     "op8_quality_ledger": quality.SQL,
+    "op13_merkle_manifest": merkle.SQL,
 }
