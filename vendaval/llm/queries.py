@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, language, lm, merkle, mixing, nearest, neardup, quality, tokenfiles, urls
+from . import bpe, chat, language, lm, merkle, mixing, nearest, neardup, passages, quality, repair, tokenfiles, urls
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Its end-of-text id.
@@ -58,6 +58,14 @@ def op10_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return chat.renderings(table(spark, folder, "conversations"))
 
 
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.audits(table(spark, folder, "conversations"))
+
+
+def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.digest(table(spark, folder, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.proofs(table(spark, folder, "documents"))
 
@@ -75,6 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_ledger,
         op9_nearest,
         op10_chat_perspectives,
+        op11_structure_repair,
+        op12_substring_dedup,
         op13_merkle_manifest,
     )
 }
