@@ -128,3 +128,17 @@ def test_repaired_rows(spark):
     df = spark.createDataFrame([(1, 2, "user", "Hi."), (1, 3, "user", "There."), (1, 5, "assistant", "Yes."), (2, 1, "system", "S."), (2, 1, "system", "S.")], "c int, t int, r string, x string")
     got = sorted(map(tuple, repair.repair(df, "c", "t", "r", "x").collect()))
     assert got == [(1, 1, 2, "user", "Hi.", "K"), (1, 2, None, "assistant", "", "I"), (1, 3, 3, "user", "There.", "K"), (1, 4, 5, "assistant", "Yes.", "K")]
+
+
+def test_auction_ends_where_insertions_go_round_without_a_way():
+    # The last row can only be deleted, so that no way through the part ends at the start again once a user turn is there.
+    ways = auction.crossings("u0" * 3 + "x1")
+    assert all(after != auction.START for before, after, _, _ in ways if before != auction.START)
+    assert auction.with_way([[("I", 1, 3)], [("I", 0, 3)], []], 2) == {2}
+
+
+def test_auction_of_a_long_conversation():
+    rng = random.Random(3)
+    parts = [[(rng.choice("suax"), rng.choice("0000123")) for _ in range(64)] for _ in range(100)]
+    cost, pieces = auction.chain([auction.crossings("".join(a + b for a, b in p)) for p in parts])
+    assert (cost, "".join(pieces)) == best([row for p in parts for row in p])

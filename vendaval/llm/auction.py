@@ -3,7 +3,8 @@
 A path grows from the source. At its last node i the best arc is that with the least cost + price of its head. If the price
 of i is below that, it rises to it and the path contracts by a node; else the path is extended along the best arc. Prices
 never pass a node's distance to the sink, and are equal to it on the path when the sink is reached. Costs are whole numbers
-of 0 or more, and every cycle costs more than 0.
+of 0 or more, and every cycle costs more than 0. Nodes without a way to the sink must start with an infinite price: around a
+cycle of such nodes prices would rise for ever.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ Arcs = Sequence[Sequence[tuple[str, int, int]]]
 def auction(arcs: Arcs, source: int, sink: int, price: list[float]) -> None:
     """Raise prices until that of the source is its distance to the sink, infinite if there is no way."""
     path = [source]
-    while True:
+    while path[-1] != sink:
         i = path[-1]
         best, to = INFINITE, -1
         for _, j, cost in arcs[i]:
@@ -31,8 +32,6 @@ def auction(arcs: Arcs, source: int, sink: int, price: list[float]) -> None:
                 path.pop()
             elif to < 0:
                 return
-        elif to == sink:
-            return
         else:
             path.append(to)
 
@@ -60,6 +59,21 @@ def least_path(arcs: Arcs, source: int, sink: int, price: list[float]) -> tuple[
     return int(price[source]), labels
 
 
+def with_way(arcs: Arcs, sink: int) -> set[int]:
+    """Nodes that the sink can be reached from."""
+    before: list[list[int]] = [[] for _ in arcs]
+    for i, own in enumerate(arcs):
+        for _, j, _ in own:
+            before[j].append(i)
+    found, edge = {sink}, [sink]
+    while edge:
+        for i in before[edge.pop()]:
+            if i not in found:
+                found.add(i)
+                edge.append(i)
+    return found
+
+
 # ---- the lattice of repairs --------------------------------------------------------------------------------------------
 
 #: What the roles kept so far end with: nothing, a system turn, a user turn, an assistant turn.
@@ -112,10 +126,29 @@ def row_lattice(codes: str, closed: bool) -> list[list[tuple[str, int, int]]]:
     return lattice(steps, range(len(steps) + closed), closed)
 
 
+def first_prices(arcs: Arcs, sink: int) -> list[float]:
+    """Prices to start from: the least costs of the layers still to cross, infinite without a way to the sink.
+
+    No arc costs less than the fall of these prices along it, so that the auction only has to add what insertions and the
+    order of roles cost.
+    """
+    least: dict[int, int] = {}
+    for i, own in enumerate(arcs):
+        for _, j, cost in own:
+            if j // STATES > i // STATES:
+                layer = i // STATES
+                least[layer] = min(least.get(layer, cost), cost)
+    rest = [0] * (sink // STATES + 1)
+    for layer in range(sink // STATES - 1, -1, -1):
+        rest[layer] = rest[layer + 1] + least.get(layer, 0)
+    ways = with_way(arcs, sink)
+    return [rest[i // STATES] if i in ways else INFINITE for i in range(len(arcs))]
+
+
 def whole(codes: str) -> tuple[int, str]:
     """Cost and edits of a whole conversation."""
     arcs = row_lattice(codes, True)
-    cost, labels = least_path(arcs, START, len(arcs) - 1, [0] * len(arcs))
+    cost, labels = least_path(arcs, START, len(arcs) - 1, first_prices(arcs, len(arcs) - 1))
     return cost, "".join(labels)
 
 
@@ -124,7 +157,7 @@ def crossings(codes: str) -> list[tuple[int, int, int, str]]:
     arcs, out = row_lattice(codes, False), []
     for after in range(STATES):
         sink = len(arcs) - STATES + after
-        price: list[float] = [0] * len(arcs)  # prices serve all sources of one sink
+        price = first_prices(arcs, sink)  # prices serve all sources of one sink
         for before in range(STATES):
             found = least_path(arcs, before, sink, price)
             if found:
@@ -140,5 +173,5 @@ def chain(parts: Sequence[Sequence[tuple[int, int, int, str]]]) -> tuple[int, li
     """
     steps = [[[(edits, to, cost) for a, to, cost, edits in part if a == state] for state in range(STATES)] for part in parts]
     arcs = lattice(steps, [len(parts)], True)
-    cost, labels = least_path(arcs, START, len(arcs) - 1, [0] * len(arcs))
+    cost, labels = least_path(arcs, START, len(arcs) - 1, first_prices(arcs, len(arcs) - 1))
     return cost, [*labels[: len(parts) - 1], "".join(labels[len(parts) - 1 :])]
