@@ -36,6 +36,10 @@ def build_session(app: str = "vendaval", cores: str = "*", shuffle_partitions: i
     return spark
 
 
+#: Spark removes the shuffle files of a query when it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
@@ -60,8 +64,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write the rows once to the shared folder and read them back.
 
-    Later passes then see the same rows even when an executor is lost between them. Runs one job.
+    Later passes then see the same rows even when an executor is lost between them. What the job shuffled goes with its end,
+    for nothing reads it any more. Runs one job.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._scratch = path
+    return written
+
+
+def release(written: DataFrame) -> None:
+    """Remove the files of a result of ``cut_lineage`` that nothing will read again: no lazy DataFrame may still depend on it."""
+    jvm = written.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(written._scratch)
+    path.getFileSystem(written.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
