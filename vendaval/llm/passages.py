@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, release
 from .batches import byte_texts, slices
 from .neardup import WordHashes
 from .order import positions
@@ -139,10 +139,12 @@ def _anchor_counts(texts: DataFrame) -> DataFrame:
 
 
 def _recurring_anchors(texts: DataFrame) -> DataFrame:
-    """block, anchor: those that occur in two texts, or twice in one text or in a block's copies of one."""
+    """block, anchor: those that occur in two texts, or twice in one text or in a block's copies of one; written."""
     found = cut_lineage(_anchor_counts(texts), "anchors")
     counted = found.groupBy("anchor").agg(F.min(F.least("low", "high")).alias("low"), F.max(F.greatest("low", "high")).alias("high"))
-    return found.select("block", "anchor").join(counted.where("low <> high").select("anchor"), "anchor")
+    recurring = cut_lineage(found.select("block", "anchor").join(counted.where("low <> high").select("anchor"), "anchor"), "recurring")
+    release(found)
+    return recurring
 
 
 def _texts_of(own: pa.Table, numbers: pa.Table) -> list[tuple[int, list[bytes]]]:
@@ -249,13 +251,20 @@ def repeated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     ordered = positions(one.select("print", "one.*", F.lit("").alias("all")), "all", ["id", "row"], "texts")
     numbered = cut_lineage(ordered.select("print", "block", "row", F.col("position").alias("seq")), "numbers")
 
-    found = cut_lineage(_phrases(rows, numbered, _recurring_anchors(rows)), "phrases")
+    wanted = _recurring_anchors(rows)
+    found = cut_lineage(_phrases(rows, numbered, wanted), "phrases")
+    release(wanted)
     hashes = ["phrase", "second"]
     counted = found.groupBy(*hashes).agg(F.sum("n").alias("n"), F.min(F.struct("seq", "start")).alias("first")).where("n > 1")
-    recurring = found.join(counted.select(*hashes, "first"), hashes).select(
-        "block", F.col("seq").alias("at_seq"), F.col("start").alias("at_start"), F.col("first.seq").alias("first_seq"), F.col("first.start").alias("first_start")
+    recurring = cut_lineage(
+        found.join(counted.select(*hashes, "first"), hashes).select(
+            "block", F.col("seq").alias("at_seq"), F.col("start").alias("at_start"), F.col("first.seq").alias("first_seq"), F.col("first.start").alias("first_start")
+        ),
+        "recurring",
     )
+    release(found)
     lost = cut_lineage(_located(rows, numbered, recurring), "located")
+    release(recurring)
 
     fate = numbered.join(lost, "seq", "left").select("print", F.col("row").alias("one"), "ends", "n_removed", "kept")
     met = rows.select("row", "id", "n_words", "print").join(fate, "print", "left")
