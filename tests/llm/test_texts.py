@@ -163,3 +163,16 @@ def test_language_cases(spark):
 def test_codewords_are_apart(n):
     codes = language.codewords(n)
     assert len({tuple(c) for c in codes}) == n and (abs(codes.sum(0)) < n).all()
+
+
+def test_a_repeated_text_crowds_out_no_label(spark):
+    from vendaval.llm import language
+
+    german = [(1, "Der Hund schläft unter dem großen Baum im Garten.", "de", "x")] * 2000
+    english = [(i, f"The cat number {i} sits on the warm roof of the house.", "en", "x") for i in range(2, 400)]
+    df = spark.createDataFrame(german + english, "doc_id long, text string, lang string, verdict string")
+    model = language.train(df, language.F.lit(True))
+    assert model.labels == ["de", "en"]
+    out = language.identify(df, model)
+    assert out.columns == ["doc_id", "text", "lang", "verdict", "lang_pred", "score", "ambiguous"]
+    assert out.where("lang <> lang_pred OR verdict <> 'x'").count() == 0

@@ -20,7 +20,7 @@ from .batches import byte_texts, fold, slices, without
 
 #: Hashed n-gram dimensions of the model.
 DIMENSIONS = 4096
-#: Bound of the training sample: whole texts of a label that the model is fitted on, those with the least hash of the id.
+#: Bound of the training sample: whole texts of a label that the model is fitted on, those with the least hash.
 SAMPLE_PER_LABEL = 300
 #: Codewords are exhaustive up to so many labels; beyond, LONG_CODE random bits each.
 EXHAUSTIVE = 6
@@ -105,20 +105,21 @@ def fit(features: np.ndarray, labels: list[str], steps: int = 150) -> Model:
     return Model(names, codes, scaled.astype("f4"), (b - middle @ scaled).astype("f4"), np.maximum(2 * right - 1, 0.05).astype("f4"))
 
 
-def train(df: DataFrame, use: Column, key: str = "doc_id", text: str = "text", label: str = "lang") -> Model:
+def train(df: DataFrame, use: Column, text: str = "text", label: str = "lang") -> Model:
     """Fit on rows where ``use`` holds and text and label are there. Runs two jobs.
 
-    The sample is bounded by SAMPLE_PER_LABEL rows a label; tasks send n-gram shares, not texts, to the driver.
+    The sample is bounded by SAMPLE_PER_LABEL different texts a label, those with the least hash: a text that many rows repeat
+    counts once, so that it can crowd out neither its own label nor another. Tasks send n-gram shares, not texts, to the driver.
     """
     rows = df.where(use & F.col(label).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("h")
+        F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h")
     )
-    sizes = rows.groupBy("label").count().collect()  # one row a label
+    sizes = rows.select("label", "h").distinct().groupBy("label").count().collect()  # one row a label
     # A first cut by the hash leaves about 2 * SAMPLE_PER_LABEL rows of a label for the exact one, however many there are.
     limits = rows.sparkSession.createDataFrame(
         [(r["label"], min(2**63 - 1, int((min(1.0, 2 * SAMPLE_PER_LABEL / r["count"]) * 2 - 1) * 2**63))) for r in sizes], "label string, most bigint"
     )
-    near = rows.join(F.broadcast(limits), "label").where(F.col("h") <= F.col("most")).drop("most")
+    near = rows.join(F.broadcast(limits), "label").where(F.col("h") <= F.col("most")).groupBy("label", "h").agg(F.min("text").alias("text"))
     picked = near.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h"))).where(F.col("r") <= SAMPLE_PER_LABEL)
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,36 +134,42 @@ def train(df: DataFrame, use: Column, key: str = "doc_id", text: str = "text", l
     return fit(features, [r.label for r in sample])
 
 
-def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns and ``lang_pred``, ``score`` (share of that label, 0 to 1), ``ambiguous``. Replaces columns so named.
+def verdict(model: Model, text: Column) -> Column:
+    """Struct of ``lang_pred``, ``score`` (share of that label, 0 to 1) and ``ambiguous``. Python sees the text alone, and
+    gives back the verdict alone; a row's other columns stay with Spark.
 
     A null text, one without a letter, and any text under a model without labels: ``und``, 0.0, true. Ties go to the label
-    that sorts first. Rows are judged one by one; no shuffle.
+    that sorts first.
     """
-    base = without(df, ("lang_pred", "score", "ambiguous"))
-    kept = base.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
-            texts = byte_texts(batch, text)
-            names, scores, doubtful = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
+    @F.arrow_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]))
+    def judge(column: pa.Array) -> pa.Array:
+        n = len(column)
+        names, scores, doubtful = [UNDETERMINED] * n, np.zeros(n), np.ones(n, bool)
+        at = 0
+        for batch in slices([pa.RecordBatch.from_arrays([column], names=["text"])], "text"):
+            texts = byte_texts(batch, "text")
             for start in range(0, len(texts), 1000):
-                at = [i for i in range(start, min(start + 1000, len(texts))) if model.labels and texts[i] and has_letter(texts[i])]
-                if at:
-                    share = model.shares([texts[i] for i in at])
-                    best = share.argmax(1)
-                    for i, k in zip(at, best):
-                        names[i] = model.labels[k]
+                rows = [i for i in range(start, min(start + 1000, len(texts))) if model.labels and texts[i] and has_letter(texts[i])]
+                if rows:
+                    share = model.shares([texts[i] for i in rows])
                     top = np.sort(share, 1)
-                    scores[at] = np.clip(top[:, -1], 0, 1)
-                    doubtful[at] = (top[:, -1] - top[:, -2] < AMBIGUOUS) if top.shape[1] > 1 else False
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(doubtful, pa.bool_())],
-                names=[*kept, "lang_pred", "score", "ambiguous"],
-            )
-
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, *added]))
+                    for i, k in zip(rows, share.argmax(1)):
+                        names[at + i] = model.labels[k]
+                    where = at + np.array(rows)
+                    scores[where] = np.clip(top[:, -1], 0, 1)
+                    doubtful[where] = (top[:, -1] - top[:, -2] < AMBIGUOUS) if top.shape[1] > 1 else False
+            at += len(texts)
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(doubtful, pa.bool_())], names=["lang_pred", "score", "ambiguous"])
+
+    return judge(text)
+
+
+def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """All columns and those of ``verdict``. Replaces columns so named. Rows are judged one by one; no shuffle."""
+    base = without(df, ("lang_pred", "score", "ambiguous"))
+    found = base.select(F.struct("*").alias("row"), verdict(model, F.col(f"`{text}`")).alias("verdict"))
+    return found.select("row.*", "verdict.*")
 
 
 def held_out(key: str = "doc_id") -> Column:
