@@ -144,6 +144,32 @@ def test_effective_dated_join_edges(frame, rows_of):
     assert rows_of(got, "sku", "day", "p") == sorted([("a", d[9], 1), ("a", d[10], 2), ("a", d[29], 2), ("b", d[0], None)], key=str)
 
 
+def test_effective_dated_join_meets_every_valid_price(spark, rows_of):
+    """Overlaps, same starts, ends before starts, open ends, gaps and nulls, against the plain interval join."""
+    import random
+    from datetime import date, timedelta
+
+    rng, day0 = random.Random(5), date(2023, 1, 1)
+    days = lambda: None if rng.random() < 0.05 else day0 + timedelta(days=rng.randrange(200))
+    keys = lambda: rng.choice(["a", "a", "a", "b", "c", None])
+    use = spark.createDataFrame([(i, keys(), days()) for i in range(300)], "n int, sku string, day date")
+    prices = spark.createDataFrame([(i, keys(), days(), days()) for i in range(60)], "p int, sku string, s date, e date")
+    got = joins.effective_dated_join(use, prices, "sku", "day", "s", "e", slice_days=20)
+    assert got.columns == ["n", "sku", "day", "p", "s", "e"]
+    on = (F.col("u.sku") == F.col("p.sku")) & (F.col("day") >= F.col("s")) & (F.col("e").isNull() | (F.col("day") <= F.col("e")))
+    plain = use.alias("u").join(prices.alias("p"), on, "left").select("n", "u.sku", "day", "p", "s", "e")
+    assert rows_of(got) == rows_of(plain)
+
+
+def test_effective_dated_join_without_prices_or_usage(frame, rows_of):
+    from datetime import date
+
+    use = frame("sku string, day date", ("a", date(2024, 1, 1)))
+    prices = frame("sku string, p int, s date, e date", ("a", 1, date(2024, 1, 1), None))
+    assert rows_of(joins.effective_dated_join(use, prices.limit(0), "sku", "day", "s", "e"), "sku", "p") == [("a", None)]
+    assert rows_of(joins.effective_dated_join(use.limit(0), prices, "sku", "day", "s", "e")) == []
+
+
 def test_usage_categories_and_fragments(frame, rows_of):
     from datetime import date
 

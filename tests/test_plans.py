@@ -81,3 +81,33 @@ def test_recent_orders_reach_the_scan(spark):
     fact = spark.createDataFrame([("1998-07-20",)], "d string").select(F.col("d").cast("date").alias("data_venda"))
     text = plan(versions.lookback(orders, "o_orderdate", fact, "data_venda"))
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in text
+
+
+def _rows_by_operator(df, names) -> int:
+    """The largest number of rows that any of the named operators put out, adaptive stages included."""
+    found, todo = [0], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(node.plan())
+        if any(n in name for n in names) and node.metrics().contains("numOutputRows"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return max(found)
+
+
+def test_as_of_prices_cost_their_sum(spark):
+    """One key with 20,000 versions and 5,000 days of use: joins and windows put out their sum at most, not their product."""
+    start = F.lit("1970-01-01").cast("date")
+    prices = spark.range(20_000).select(
+        F.lit("hot").alias("sku"), F.date_add(start, F.col("id").cast("int")).alias("s"),
+        F.date_add(start, F.col("id").cast("int")).alias("e"), F.col("id").alias("p"))
+    use = spark.range(5_000).select(F.lit("hot").alias("sku"), F.date_add(start, (F.col("id") * 3).cast("int")).alias("day"))
+    priced = joins.effective_dated_join(use, prices, "sku", "day", "s", "e")
+    rows = priced.collect()
+    assert len(rows) == 5_000 and all(r.p == (r.day - r.s.replace(year=1970, month=1, day=1)).days for r in rows)
+    assert 0 < _rows_by_operator(priced, ("Join", "Window", "Filter")) <= 25_000

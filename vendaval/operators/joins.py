@@ -89,13 +89,46 @@ def stream_static_lookup(stream: DataFrame, static: DataFrame, key: str, value:
 
 
 def effective_dated_join(
-    usage: DataFrame, prices: DataFrame, key: str, day: str, start: str, end: str
+    usage: DataFrame, prices: DataFrame, key: str, day: str, start: str, end: str, slice_days: int = 32
 ) -> DataFrame:
-    """Price valid on the day of use; a price without an end holds for ever. The equality on ``key`` gives a hash join; the dates are a residual test."""
-    begun, over = F.col(f"u.{day}") >= F.col(f"p.{start}"), F.col(f"u.{day}") > F.col(f"p.{end}")
-    on = (F.col(f"u.{key}") == F.col(f"p.{key}")) & begun & (F.col(f"p.{end}").isNull() | ~over)
-    extra = [F.col(f"p.{c}") for c in prices.columns if c != key]
-    return usage.alias("u").join(prices.alias("p"), on, "left").select("u.*", *extra)
+    """Price valid on the day of use; a price without an end holds for ever. Usage that meets several prices has a row for each.
+
+    Prices that end before the next one of their key begins are found as of the day: the distinct (key, day) of the usage and
+    the starts of prices are put in order, and the last price seen is carried forward. That costs their sum, not their product.
+    A key's days are cut into slices, so that no key is one task's; what a slice begins with comes from the last price of each
+    slice before it. A price that outlives its successor is compared with the days of its key as a residual test. Rows
+    without a key or a day have no price, prices without a key or a start are never valid.
+    """
+    others = [c for c in prices.columns if c != key]
+    dated = prices.where(F.col(key).isNotNull() & F.col(start).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(start).alias("_at"), F.col(end).alias("_end"), F.struct(*others).alias("_price")
+    )
+    dated = dated.withColumn("_next", F.lead("_at").over(Window.partitionBy("_key").orderBy("_at")))
+    in_turn = F.coalesce(F.col("_end") < F.col("_next"), F.col("_next").isNull())
+    asked = usage.select(F.col(key).alias("_key"), F.col(day).alias("_day")).dropna().distinct()
+
+    found = _as_of(asked, dated.where(in_turn), slice_days).where("_end IS NULL OR _day <= _end")
+    outliving = dated.where(~in_turn).withColumnRenamed("_key", "_k")
+    on = (F.col("_key") == F.col("_k")) & (F.col("_day") >= F.col("_at")) & (F.col("_end").isNull() | (F.col("_day") <= F.col("_end")))
+    met = found.select("_key", "_day", "_price").unionByName(asked.join(outliving, on).select("_key", "_day", "_price"))
+    same = (F.col(f"u.{key}") == F.col("m._key")) & (F.col(f"u.{day}") == F.col("m._day"))
+    return usage.alias("u").join(met.alias("m"), same, "left").select("u.*", *[F.col(f"m._price.{c}").alias(c) for c in others])
+
+
+def _as_of(asked: DataFrame, versions: DataFrame, slice_days: int) -> DataFrame:
+    """``asked`` (_key, _day) with _price and _end of the version (_key, _at, _end, _price) that began last by then, if any did."""
+    begun = versions.select("_key", "_at", F.lit(0).alias("_turn"), F.struct("_price", "_end").alias("_version"))
+    rows = begun.unionByName(asked.select("_key", F.col("_day").alias("_at"), F.lit(1).alias("_turn"), "_day"), allowMissingColumns=True)
+    rows = rows.withColumn("_slice", F.floor(F.unix_date(F.col("_at").cast("date")) / slice_days))
+    so_far = Window.partitionBy("_key", "_slice").orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+    seen = rows.withColumn("_seen", F.last("_version", ignorenulls=True).over(so_far)).where("_turn = 1")
+    # One row per key and slice, as many as the calendar has.
+    slices = rows.groupBy("_key", "_slice").agg(F.max_by("_version", F.when(F.col("_turn") == 0, F.col("_at"))).alias("_last"))
+    earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    brought = slices.withColumn("_brought", F.last("_last", ignorenulls=True).over(earlier)).drop("_last")
+    version = F.coalesce("_seen", "_brought")
+    known = seen.join(brought, ["_key", "_slice"]).withColumn("_version", version).where("_version IS NOT NULL")
+    return known.select("_key", "_day", "_version._price", "_version._end")
 
 
 def join_reviews_delivery(reviews: DataFrame, orders: DataFrame) -> DataFrame:
