@@ -331,3 +331,76 @@ def test_review_document_shows_missing_parts(frame):
     got = [r[0] for r in df.select(text.review_document()).collect()]
     assert got[0].split("\n") == ["Review (score 5/5): bom", "Categoria: N/A", "Estado cliente: SP", "Estado vendedor: N/A", "Entrega: no_prazo (delta: -2 dias)"]
     assert got[1].split("\n")[0] == "Categoria: c"  # a missing score drops the first line
+
+
+def test_chi_squared_tail_known_values(frame):
+    from vendaval.functions import scalars
+
+    known = [
+        (3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05), (7.814727903251179, 3, 0.05), (11.070497693516351, 5, 0.05),
+        (18.307038053275146, 10, 0.05), (124.34211340400407, 100, 0.05), (1.0, 1, 0.31731050786291415), (20.0, 1, 7.744216431044087e-06),
+        (0.0, 3, 1.0), (5000.0, 4, 0.0), (1e-9, 6, 1.0),
+    ]
+    df = frame("x double, k bigint, p double", *known)
+    for r in df.withColumn("got", scalars.chi_squared_tail(F.col("x"), F.col("k"))).collect():
+        assert r.got == pytest.approx(r.p, rel=1e-9, abs=1e-12), r
+    odd = frame("x double, k bigint", (1.0, 0), (None, 3), (1.0, None))
+    assert {r[0] for r in odd.select(scalars.chi_squared_tail(F.col("x"), F.col("k"))).collect()} == {None}
+
+
+def test_drift_test_tells_change_from_none(spark):
+    from vendaval.operators import profiles
+
+    base = spark.range(4000).select((F.col("id") % 4).alias("v"), F.lit("x").alias("one"))
+    moved = spark.range(4000).select(F.when(F.col("id") % 10 == 0, 0).otherwise(F.col("id") % 4).alias("v"), F.lit("x").alias("one"))
+    same = {r.column_name: r for r in profiles.drift_test(profiles.drift(base, base, ["v", "one"])).collect()}
+    changed = {r.column_name: r for r in profiles.drift_test(profiles.drift(base, moved, ["v"])).collect()}
+    assert same["v"].p_value == 1.0 and not same["v"].drifted and same["one"].p_value is None and not same["one"].drifted
+    assert changed["v"].p_value < 0.001 and changed["v"].drifted
+
+
+def test_quantile_sketches_merge_without_rows(spark):
+    from vendaval.operators import profiles
+
+    t0 = F.lit("2024-01-01").cast("timestamp")
+    df = spark.range(9000).select(
+        (t0 + F.make_dt_interval((F.col("id") % 90).cast("int"))).alias("ts"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("v"),
+        F.lit(None).cast("double").alias("none"))
+    stored = profiles.quantile_sketches(df, "ts", ["v", "none"])
+    assert stored.count() == 2 * stored.select("window_start").distinct().count() >= 6
+    got = profiles.merged_quantiles(stored, [0.1, 0.5, 0.9]).collect()
+    assert {r.column_name for r in got} == {"v"} and {r.num_values for r in got} == {7200}
+    assert all(abs(r.quantile / 9000 - r["at"]) < 0.02 for r in got)
+    by_window = profiles.merged_quantiles(stored, [0.5], ["window_start"])
+    assert by_window.count() == stored.count() // 2
+    assert profiles.merged_quantiles(stored.limit(0)).count() == 0
+
+
+def test_row_filter_functions_reach_the_scan(spark, tmp_path, rows_of):
+    from vendaval.operators import governance
+
+    spark.createDataFrame([("a", "AM"), ("b", "SP"), ("c", None)], "id string, uf string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    names = governance.sql_row_filters(spark, ["Regiao_Norte"])
+    seen = df.where(F.call_function(names[0], F.col("uf")))
+    assert rows_of(seen, "id") == [("a",)]
+    assert "PushedFilters: [In(uf" in seen._jdf.queryExecution().toString() or "In(uf" in seen._jdf.queryExecution().toString()
+    governance.sql_row_filters(spark, [])
+    assert df.where(F.call_function(names[0], F.col("uf"))).count() == 3
+    odd = {"f'n": ["o'x", "back\\slash"]}
+    governance.sql_row_filters(spark, ["f'n"], {"odd_filter": "f'n"}, odd)
+    texts = spark.createDataFrame([("o'x",), ("back\\slash",), ("other",)], "s string")
+    assert texts.where("odd_filter(s)").count() == 2
+
+
+def test_customer_sketches_roll_up(spark, at):
+    from vendaval.streaming import orders as stream_orders
+
+    rows = [(f"o{i}", at(f"2024-01-{1 + i % 20:02d}T{i % 24:02d}:00:00"), "SP", f"c{i % 700}") for i in range(3000)]
+    rows += [("n", at("2024-01-05T00:00:00"), None, None)]
+    records = spark.createDataFrame(rows, "order_id string, purchase_ts timestamp, customer_state string, customer_unique_id string")
+    hours = stream_orders.customer_sketches(records)
+    months = stream_orders.unique_customers(stream_orders.roll_up_sketches(stream_orders.roll_up_sketches(hours, "day"), "month"))
+    got = {r.customer_state: r for r in months.collect()}
+    assert got["SP"].pedidos == 3000 and abs(got["SP"].clientes_unicos - 700) <= 35
+    assert got[None].pedidos == 1 and got[None].clientes_unicos == 0

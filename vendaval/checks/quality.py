@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..operators import governance, profiles, quality
 from ..plans import gold, silver
+from ..session import scratch_path
 from .bound import Bound
 from .oracle import NORTE, dbl, half_up, mean, pct, pct_where
 from .registry import check
@@ -184,6 +185,24 @@ def _(b):
     return report.withColumn("quantiles", F.array_join(F.col("quantiles").cast("array<string>"), ","))
 
 
+@check("DQ11_quantile_sketches", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT({c}) AS num_values, CAST({at} AS DOUBLE) AS at, TRUE AS within FROM orders"
+    for c in ("o_totalprice", "o_custkey") for at in (0.25, 0.5, 0.75)))
+def _(b):
+    """``within``: the rank of the quantile in all rows is off by 1 % at most."""
+    orders, path = b.table("orders"), scratch_path(b.spark, "quantile_sketches")
+    columns = ["o_totalprice", "o_custkey"]
+    profiles.quantile_sketches(orders, "o_orderdate", columns).write.parquet(path)
+    found = profiles.merged_quantiles(b.spark.read.parquet(path))
+    cells = profiles.melt(orders, columns).where("number IS NOT NULL")
+    # As many quantiles as were asked for meet each row's column.
+    ranks = cells.join(found, "column_name").groupBy("column_name", "num_values", "at").agg(
+        F.count_if(F.col("number") < F.col("quantile")).alias("below"), F.count_if(F.col("number") <= F.col("quantile")).alias("upto")
+    )
+    near = (F.col("below") / F.col("num_values") <= F.col("at") + 0.01) & (F.col("upto") / F.col("num_values") >= F.col("at") - 0.01)
+    return ranks.select("column_name", "num_values", "at", near.alias("within"))
+
+
 @check("DQ11_profile_top_values", " UNION ALL ".join(
     f"""SELECT * FROM (SELECT '{c}' AS column_name, {c} AS value, COUNT(*) AS frequency FROM orders GROUP BY 2
         ORDER BY 3 DESC, 2 LIMIT 1)""" for c in ("o_orderstatus", "o_orderpriority")))
@@ -231,7 +250,7 @@ def _(b):
     return report.withColumns({c: F.round(c, d) for c, d in (("kl_divergence", 8), ("js_distance", 8), ("chi_squared", 6))})
 
 
-@check("DQ12_drift", """
+_DRIFT = """
     WITH base AS (SELECT o_orderstatus AS s, o_orderpriority AS p FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
     cur AS (SELECT o_orderstatus AS s, o_orderpriority AS p FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'),
     freq AS (
@@ -246,7 +265,10 @@ def _(b):
     SELECT column_name, round(SUM(p * ln(p / q)), 8) AS kl_divergence,
       round(sqrt(SUM((p * ln(p / ((p + q) / 2)) + q * ln(q / ((p + q) / 2))) / 2)), 8) AS js_distance,
       round(SUM(pow(b - eb, 2) / eb + pow(c - ec, 2) / ec), 6) AS chi_squared, COUNT(*) - 1 AS degrees
-    FROM pq GROUP BY 1""")
+    FROM pq GROUP BY 1"""
+
+
+@check("DQ12_drift", _DRIFT)
 def _(b):
     orders = b.table("orders")
     early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
@@ -255,6 +277,23 @@ def _(b):
     return report.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
+# The density of the chi variable (the root of chi-squared) by Simpson's rule: another way than the operator's finite sum.
+@check("DQ12_drift_test", f"""
+    WITH d AS ({_DRIFT}), points AS (SELECT column_name, chi_squared, degrees, i, sqrt(chi_squared) * i / 2000 AS u,
+      CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w FROM d, generate_series(0, 2000) AS g(i))
+    SELECT column_name, chi_squared, degrees,
+      round(1 - SUM(w * 2 * pow(u, degrees - 1) * exp(-u * u / 2) / (pow(2, degrees / 2.0) * gamma(degrees / 2.0)))
+        * sqrt(chi_squared) / 6000, 6) AS p_value,
+      1 - SUM(w * 2 * pow(u, degrees - 1) * exp(-u * u / 2) / (pow(2, degrees / 2.0) * gamma(degrees / 2.0)))
+        * sqrt(chi_squared) / 6000 < 0.05 AS drifted
+    FROM points GROUP BY column_name, chi_squared, degrees""")
+def _(b):
+    orders = b.table("orders")
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    tested = profiles.drift_test(profiles.drift(orders.where(early), orders.where(~early), ["o_orderstatus", "o_orderpriority"]))
+    return tested.select("column_name", F.round("chi_squared", 6).alias("chi_squared"), "degrees", F.round("p_value", 6).alias("p_value"), "drifted")
+
+
 @check("DQ13_quality_gate", """
     SELECT 3 AS total_checks, CAST(SUM(n) AS BIGINT) AS failed,
       coalesce(string_agg(CASE WHEN n > 0 THEN t END, ',' ORDER BY t), '') AS details,
@@ -379,6 +418,31 @@ def _(b):
     return governance.row_filter(b.customers, "customer_state", ["Regiao_Norte", "Regiao_Sul"], groups)
 
 
+def _filtered(b, df, column, name, groups):
+    governance.sql_row_filters(b.spark, groups)
+    return df.where(F.call_function(name, F.col(column)))
+
+
+@check("GV4_filter_function_orders", f"SELECT order_id, customer_state FROM s_orders_enriched WHERE customer_state IN {NORTE}")
+def _(b):
+    return _filtered(b, b.orders_enriched.select("order_id", "customer_state"), "customer_state", "filtro_regiao_norte", ["Regiao_Norte"])
+
+
+@check("GV4_filter_function_customers", f"SELECT * FROM s_customers WHERE customer_state IN {NORTE}")
+def _(b):
+    return _filtered(b, b.customers, "customer_state", "filtro_regiao_norte_customers", ["Regiao_Norte", "others"])
+
+
+@check("GV4_filter_function_sellers", f"SELECT * FROM s_sellers WHERE seller_state IN {NORTE}")
+def _(b):
+    return _filtered(b, b.sellers, "seller_state", "filtro_regiao_norte_sellers", ["Regiao_Norte"])
+
+
+@check("GV4_filter_function_unrestricted", "SELECT * FROM s_sellers")
+def _(b):
+    return _filtered(b, b.sellers, "seller_state", "filtro_regiao_norte_sellers", ["others"])
+
+
 @check("GV4_row_filter_unrestricted", "SELECT * FROM s_customers")
 def _(b):
     return governance.row_filter(b.customers, "customer_state", ["admins"])

@@ -153,6 +153,25 @@ def _(b):
     return _settled(streams.latest_batch(b.spark, path))
 
 
+@check("W3_customer_sketches", f"""
+    SELECT {txt("date_trunc('month', purchase_ts)")} AS inicio, customer_state, COUNT(order_id) AS pedidos,
+      COUNT(DISTINCT customer_unique_id) AS clientes_exatos, TRUE AS within FROM ({RECORDS}) WHERE purchase_ts IS NOT NULL GROUP BY ALL""")
+def _(b):
+    """Hours from the stream, days from hours, months from days; ``within``: off by 5 % or by one customer at most."""
+    hours, days = scratch_path(b.spark, "hours"), scratch_path(b.spark, "days")
+    sketches = orders.customer_sketches(orders.stream_enrich(_document_stream(b)))
+    streams.run_available(streams.stream_complete_sink(sketches, hours, scratch_path(b.spark, "cp")))
+    orders.roll_up_sketches(streams.latest_batch(b.spark, hours), "day").write.parquet(days)
+    months = orders.unique_customers(orders.roll_up_sketches(b.spark.read.parquet(days), "month"))
+    records = orders.stream_enrich(b.documents).where("purchase_ts IS NOT NULL")
+    people = records.select(F.date_trunc("month", F.col("purchase_ts").cast("timestamp")).alias("inicio"), "customer_state", "customer_unique_id").distinct()
+    exact = people.groupBy("inicio", "customer_state").agg(F.count("customer_unique_id").alias("clientes_exatos"))
+    off = F.abs(F.col("clientes_unicos") - F.col("clientes_exatos"))
+    on = months["inicio"].eqNullSafe(exact["inicio"]) & months["customer_state"].eqNullSafe(exact["customer_state"])
+    joined = months.join(exact, on).select(months["inicio"], months["customer_state"], "pedidos", "clientes_unicos", "clientes_exatos")
+    return joined.withColumn("within", off <= F.greatest(F.lit(1.0), 0.05 * F.col("clientes_exatos"))).drop("clientes_unicos")
+
+
 @check("W4_hourly_gmv_by_state", _gmv_sql("hour"))
 def _(b):
     return _settled(orders.hourly_gmv_by_state(orders.stream_enrich(b.documents), exact=True))

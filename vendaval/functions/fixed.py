@@ -157,6 +157,13 @@ UNRESTRICTED_ROLES = ["admin"]
 # Member group whose rows are limited to one macro-region.
 REGIONAL_GROUPS = {"Regiao_Norte": REGION_STATES["Norte"]}
 
+# Row-filter functions and the group each one restricts.
+ROW_FILTER_FUNCTIONS = {
+    "filtro_regiao_norte": "Regiao_Norte",
+    "filtro_regiao_norte_customers": "Regiao_Norte",
+    "filtro_regiao_norte_sellers": "Regiao_Norte",
+}
+
 # Warehouse hand-off keys, distribution then sort.
 EXPORT_KEYS = {
     "orders": ("order_id", "order_purchase_timestamp"),

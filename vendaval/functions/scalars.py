@@ -125,3 +125,31 @@ def array_total(items: Column | str, value: Callable[[Column], Column], skip_nul
         return total + (F.coalesce(x, F.lit(0.0)) if skip_nulls else x)
 
     return F.aggregate(as_column(items), start, add)
+
+
+def _erfc(z: Column) -> Column:
+    """Complementary error function of z >= 0: the power series of erf below 2.5, the continued fraction from there on."""
+    square = z * z
+    step = lambda acc, n: F.struct((acc["term"] * 2 * square / (2 * n + 1)).alias("term"), (acc["total"] + acc["term"]).alias("total"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(80)), F.struct(z.alias("term"), F.lit(0.0).alias("total")), step)["total"]
+    fraction = F.aggregate(F.sequence(F.lit(80), F.lit(1), F.lit(-1)), z, lambda acc, n: z + n / F.lit(2.0) / acc)
+    root = F.sqrt(F.pi())
+    return F.when(z < 2.5, 1 - 2 / root * F.exp(-square) * series).otherwise(F.exp(-square) / root / fraction)
+
+
+def chi_squared_tail(statistic: Column, degrees: Column) -> Column:
+    """Chance that a chi-squared variable of ``degrees`` reaches ``statistic``; null without a degree or a statistic.
+
+    The upper incomplete gamma function of whole and half orders is a finite sum, here of exponents, so that large
+    statistics do not overflow.
+    """
+    half, odd = statistic / 2, degrees % 2 == 1
+    first = F.when(odd, F.ln(half) / 2 - half - F.ln(F.sqrt(F.pi()) / 2)).otherwise(-half)
+    count = F.floor(degrees / 2).cast("int")
+    step = lambda acc, i: F.struct(
+        (acc["exponent"] + F.ln(half / (i + F.when(odd, 0.5).otherwise(0.0)))).alias("exponent"), (acc["total"] + F.exp(acc["exponent"])).alias("total")
+    )
+    terms = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
+    total = F.aggregate(terms, F.struct(first.alias("exponent"), F.lit(0.0).alias("total")), step)["total"]
+    tail = total + F.when(odd, _erfc(F.sqrt(half))).otherwise(0.0)
+    return F.when(degrees >= 1, F.when((statistic <= 0) | (tail > 1), 1.0).otherwise(tail))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -93,6 +93,26 @@ def row_filter(
     return df.where(F.col(column).isin(sorted({value for values in mine for value in values}))) if mine else df
 
 
+def sql_row_filters(
+    spark: SparkSession,
+    user_groups: Collection[str],
+    functions: Mapping[str, str] | None = None,
+    regional: Mapping[str, Sequence[str]] | None = None,
+) -> list[str]:
+    """Register a boolean SQL function of a state per ``{function: group}`` for the session; returns their names.
+
+    For a member of the group it is true for the group's states, for everyone else always. The optimizer puts its body in
+    place of the call, so the test reaches the parquet scan as if it were written out.
+    """
+    rules = regional or fixed.REGIONAL_GROUPS
+    functions = fixed.ROW_FILTER_FUNCTIONS if functions is None else functions
+    for name, group in functions.items():
+        states = ", ".join("'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'" for s in rules[group])
+        body = f"state IN ({states})" if group in user_groups else "TRUE"
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION `{name}`(state STRING) RETURNS BOOLEAN RETURN {body}")
+    return list(functions)
+
+
 def row_filter_by_grant(df: DataFrame, column: str, grants: DataFrame, user: str) -> DataFrame:
     """Row access from an entitlement table (user, value): a semi join on the granted values."""
     mine = grants.where(F.col("user") == user).select(F.col("value").alias(column))

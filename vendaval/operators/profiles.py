@@ -66,6 +66,26 @@ def quantiles(df: DataFrame, columns: Sequence[str], at: Sequence[float] = (0.25
     return melt(df, columns).groupBy("column_name").agg(sketch.alias("quantiles"))
 
 
+def quantile_sketches(df: DataFrame, ts: str, columns: Sequence[str], width: str = "30 days", k: int = 400) -> DataFrame:
+    """window_start, window_end, column_name and the KLL ``sketch`` of its numbers: a table to store, which merges over any windows.
+
+    A sketch holds a few thousand numbers at most, whatever it has seen. A window without a number has an empty one.
+    """
+    sketches = [F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(k)).alias(str(i)) for i, c in enumerate(columns)]
+    wide = windows_of(df, ts, width).groupBy("window_start", "window_end").agg(*sketches)
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(str(i)).alias("sketch")) for i, c in enumerate(columns)]
+    return wide.select("window_start", "window_end", F.inline(F.array(*entries)))
+
+
+def merged_quantiles(sketches: DataFrame, at: Sequence[float] = (0.25, 0.5, 0.75), by: Sequence[str] = ()) -> DataFrame:
+    """by, column_name, num_values, at, quantile: stored sketches merged, without a look at the rows. Empty ones give no row."""
+    merged = sketches.groupBy(*by, "column_name").agg(F.kll_merge_agg_double("sketch").alias("_s"))
+    filled = merged.withColumn("num_values", F.kll_sketch_get_n_double("_s")).where("num_values > 0")
+    found = filled.withColumn("_q", F.when(F.col("num_values") > 0, F.kll_sketch_get_quantile_double("_s", F.array(*map(F.lit, at)))))
+    pairs = F.arrays_zip(F.array(*map(F.lit, at)).alias("at"), F.col("_q").alias("quantile"))
+    return found.select(*by, "column_name", "num_values", F.inline(pairs).alias("at", "quantile"))
+
+
 def top_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Most frequent value per column; ties go to the smaller text."""
     counts = melt(df, columns).where("value IS NOT NULL").groupBy("column_name", "value")
@@ -91,6 +111,15 @@ def drift(baseline: DataFrame, current: DataFrame, columns: Sequence[str], floor
     return _divergence(pairs, [], floor)
 
 
+def drift_test(measures: DataFrame, level: float = 0.05) -> DataFrame:
+    """``drift`` or ``drift_by_window`` with ``p_value`` of its chi-squared statistic and ``drifted``: the chance is below ``level``.
+
+    A column with one value has no degree of freedom: its chance is null and it has not drifted.
+    """
+    tested = measures.withColumn("p_value", S.chi_squared_tail(F.col("chi_squared"), F.col("degrees")))
+    return tested.withColumn("drifted", F.coalesce(F.col("p_value") < level, F.lit(False)))
+
+
 def _divergence(pairs: DataFrame, by: Sequence[str], floor: float) -> DataFrame:
     """``pairs`` (by, column_name, value, b, c) to the measures of each column. Sides without any row give no row."""
     keys = [*by, "column_name"]

@@ -99,6 +99,30 @@ def roll_up_customer_days(rows: DataFrame) -> DataFrame:
     return grouped.withColumn("data", F.col("inicio").cast("date"))
 
 
+def customer_sketches(records: DataFrame, width: str = "1 hour", delay: str = "1 day", lg_size: int = 12) -> DataFrame:
+    """inicio, customer_state, pedidos and the sketch ``clientes`` of who bought: mergeable state of fixed size per window.
+
+    Unlike a finished estimate, it rolls up to longer windows (``roll_up_sketches``). The estimate is within about 4 % in
+    nearly all cases at the default size of 4 KB.
+    """
+    windowed = watermark(records, delay=delay).groupBy(F.window("purchase_ts", width), "customer_state")
+    people = F.hll_sketch_agg("customer_unique_id", F.lit(lg_size))
+    sketched = windowed.agg(F.count("order_id").alias("pedidos"), people.alias("clientes"))
+    return sketched.select(F.col("window.start").alias("inicio"), "customer_state", "pedidos", "clientes")
+
+
+def roll_up_sketches(sketches: DataFrame, unit: str = "day") -> DataFrame:
+    """Stored sketches merged per calendar unit and state, in the same form, so that months come from days and days from hours."""
+    return sketches.groupBy(F.date_trunc(unit, "inicio").alias("inicio"), "customer_state").agg(
+        F.sum("pedidos").alias("pedidos"), F.hll_union_agg("clientes").alias("clientes")
+    )
+
+
+def unique_customers(sketches: DataFrame) -> DataFrame:
+    """The estimate ``clientes_unicos`` in place of the sketch."""
+    return sketches.withColumn("clientes_unicos", F.hll_sketch_estimate("clientes")).drop("clientes")
+
+
 def stream_load_report(gmv: DataFrame, k: int = 10) -> DataFrame:
     """States by total sales."""
     totals = gmv.groupBy("customer_state").agg(
