@@ -147,3 +147,24 @@ def test_perspectives(spark, monkeypatch):
     for text, mask in got.values():
         assert all(text[a:b].endswith(chat.END) for a, b in mask)
     assert chat.renderings(df.where("false")).count() == 0
+
+
+def test_mix_keeps_columns_of_any_name(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 20)
+    names = ["h_", "bucket_", "run_", "of_", "part_", "total_", "before_", "first_", "last_", "start_", "period_", "slots_"]
+    names += ["__h", "__bucket", "__run", "__s", "__source", "__first", "H__", "s", "last"]
+    rows = [(None if i % 2 else i, f"text {i} " * (i % 5), "hot" if i % 3 else None, *[f"{n}{i}" for n in names]) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    got = mixing.mix(df, block_words=50)
+    assert got.columns == [*df.columns, "words", "block", "phase", "slot"]
+    assert sorted(map(repr, (tuple(r)[: len(df.columns)] for r in got.collect()))) == sorted(map(repr, rows))
+
+
+def test_blocks_of_null_keys_spread(spark, monkeypatch):
+    """Rows without a key, and rows with one and the same, are put in order by their texts: blocks follow one another whole."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 20)
+    df = spark.createDataFrame([(None if i < 400 else 7, f"w{i} x", "a") for i in range(800)], "doc_id long, text string, source string")
+    got = mixing.with_blocks(df, "source", "doc_id", "text", 100)
+    assert {r.block: r["count"] for r in got.groupBy("block").count().collect()} == {b: 50 for b in range(16)}
+    spread = got.groupBy(F.pmod(F.shiftright(F.xxhash64("doc_id", "text"), 20), F.lit(40))).count()
+    assert spread.agg(F.max("count")).first()[0] < 60

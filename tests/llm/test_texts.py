@@ -176,3 +176,18 @@ def test_a_repeated_text_crowds_out_no_label(spark):
     out = language.identify(df, model)
     assert out.columns == ["doc_id", "text", "lang", "verdict", "lang_pred", "score", "ambiguous"]
     assert out.where("lang <> lang_pred OR verdict <> 'x'").count() == 0
+
+
+def test_quality_keeps_columns_of_any_name(spark):
+    names = ["text_", "words_", "windows_", "lines_", "pairs_", "starts_", "__words", "__windows", "__lines", "__measures", "TEXT__", "measures_"]
+    texts = ["a b c d e f g h i j k", "same words in a row and again same words in a row and again " * 3, None, "l\nl\nm n o p q r s t u v w"]
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    ledger = quality.ledger(df)
+    assert ledger.columns == [*df.columns, "measures", "failed"]
+    assert sorted(tuple(r)[: len(df.columns)] for r in ledger.collect()) == sorted(rows)
+    for r in ledger.collect():
+        want = plain_quality(r.text)
+        assert {k: r.measures[k] for k in want} == want
+    kept = quality.keep(df.withColumn("measures", F.lit("mine")), "v1")
+    assert kept.columns == [*df.columns, "measures"] and {tuple(r) for r in kept.collect()} <= {(*r, "mine") for r in rows}

@@ -55,3 +55,14 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Drop the columns that an operator is about to add: where names clash, its results win."""
     taken = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
+def spare_names(df: DataFrame, *names: str) -> list[str]:
+    """Each name, lengthened until no column of ``df`` has it: for columns that an operator needs on the way."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .batches import SEPARATORS, without
+from .batches import SEPARATORS, spare_names, without
 
 #: Slots of a period: weights are rounded to whole shares of it, at least one share each.
 PERIOD = 1000
@@ -94,24 +94,27 @@ def plan(blocks: Mapping[str | None, int], weights: Mapping[str | None, float],
 
 
 def with_blocks(df: DataFrame, source: str, key: str, text: str, block_words: int) -> DataFrame:
-    """All columns, ``words`` of the text and ``block``, by the words before the row in its source's order.
+    """All columns, ``words`` of the text and ``block``, by the words before the row in its source's order. Columns of these
+    names are replaced; other names are the caller's own.
 
-    The order is that of the key's hash. Its range is cut into equal buckets, whose totals are added up first, so that no
-    task has more than about BUCKET_ROWS rows of a source, however large that is.
+    The order is that of a hash of key and text, so that null or repeated keys spread as others do. Its range is cut into equal buckets,
+    whose totals are added up first, so that no task has more than about BUCKET_ROWS different rows of a source, however large that is.
     """
-    buckets = max(1, -(-df.count() // BUCKET_ROWS))
+    base = without(df, ("words", "block"))
+    buckets = max(1, -(-base.count() // BUCKET_ROWS))
+    h, bucket, run, of, part, total, before = spare_names(base, "h_", "bucket_", "run_", "of_", "part_", "total_", "before_")
     text_of = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    counted = df.withColumn("words", F.size(F.array_remove(F.split(text_of, f"[{SEPARATORS}]+"), "")).cast("long")).withColumn(
-        "__h", F.xxhash64(F.col(f"`{key}`"))
-    ).withColumn("__bucket", F.floor(F.pmod(F.shiftright("__h", 20), F.lit(1 << 44)) * buckets / (1 << 44)))
-    counted = counted.withColumn("__h", F.pmod(F.shiftright("__h", 20), F.lit(1 << 44)))  # the order agrees with the buckets
-    totals = counted.groupBy(F.col(f"`{source}`").alias("__s"), F.col("__bucket").alias("__b")).agg(F.sum("words").alias("__w"))
-    before = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__s", "__b", F.coalesce(F.sum("__w").over(before), F.lit(0)).alias("__before"))
-    inner = Window.partitionBy(f"`{source}`", "__bucket").orderBy("__h", f"`{key}`", "words").rowsBetween(Window.unboundedPreceding, -1)
-    run = counted.withColumn("__run", F.coalesce(F.sum("words").over(inner), F.lit(0)))
-    joined = run.join(offsets, run[f"`{source}`"].eqNullSafe(offsets["__s"]) & (run["__bucket"] == offsets["__b"]))
-    return joined.withColumn("block", F.floor((F.col("__before") + F.col("__run")) / block_words).cast("long"))
+    hashed = F.pmod(F.shiftright(F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")), 20), F.lit(1 << 44))
+    counted = base.withColumn("words", F.size(F.array_remove(F.split(text_of, f"[{SEPARATORS}]+"), "")).cast("long")).withColumn(h, hashed)
+    counted = counted.withColumn(bucket, F.floor(F.col(h) * buckets / (1 << 44)))  # the order agrees with the buckets
+    totals = counted.groupBy(F.col(f"`{source}`").alias(of), F.col(bucket).alias(part)).agg(F.sum("words").alias(total))
+    earlier = Window.partitionBy(of).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(of, part, F.coalesce(F.sum(total).over(earlier), F.lit(0)).alias(before))
+    inner = Window.partitionBy(f"`{source}`", bucket).orderBy(h, f"`{key}`", "words").rowsBetween(Window.unboundedPreceding, -1)
+    summed = counted.withColumn(run, F.coalesce(F.sum("words").over(inner), F.lit(0)))
+    joined = summed.join(offsets, F.col(f"`{source}`").eqNullSafe(F.col(of)) & (F.col(bucket) == F.col(part)))
+    block = F.floor((F.col(before) + F.col(run)) / block_words).cast("long")
+    return joined.select(*[F.col(f"`{c}`") for c in base.columns], "words", block.alias("block"))
 
 
 def mix(
@@ -136,16 +139,17 @@ def mix(
         raise ValueError(f"more than {MAX_SOURCES} sources: group them before mixing")
     weights = {r.s: float(max(r.words, 1)) ** ROOT for r in found} if weights is None else weights
     rows = [(p.source, p.phase, p.first, p.last, p.start, p.period, p.slots) for p in plan({r.s: r.last + 1 for r in found}, weights, period)]
+    of, first, last, start, length, slots = spare_names(blocked, "of_", "first_", "last_", "start_", "period_", "slots_")
     schedule = df.sparkSession.createDataFrame(
-        rows, "__source string, phase int, __first bigint, __last bigint, __start bigint, __period bigint, __slots array<int>"
+        rows, f"{of} string, phase int, {first} bigint, {last} bigint, {start} bigint, {length} bigint, {slots} array<int>"
     )
-    k = F.col("block") - F.col("__first")
-    n = F.size("__slots")
+    k = F.col("block") - F.col(first)
+    n = F.size(slots)
     placed = blocked.join(
         F.broadcast(schedule),  # at most sources * phases rows, see MAX_SOURCES
-        blocked[f"`{source}`"].cast("string").eqNullSafe(schedule["__source"]) & blocked["block"].between(F.col("__first"), F.col("__last")),
+        F.col(f"`{source}`").cast("string").eqNullSafe(F.col(of)) & F.col("block").between(F.col(first), F.col(last)),
     )
-    slot = F.col("__start") + F.floor(k / n) * F.col("__period") + F.get("__slots", k % n)
+    slot = F.col(start) + F.floor(k / n) * F.col(length) + F.get(slots, k % n)
     return placed.select(*[F.col(f"`{c}`") for c in base.columns], "words", "block", "phase", slot.cast("long").alias("slot"))
 
 

@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import SEPARATORS, without
+from .batches import SEPARATORS, spare_names, without
 
 WINDOW = 5
 SYMBOLS = "[#*$%&|<>]"
@@ -56,34 +56,36 @@ def measure(df: DataFrame, text: str = "text", into: str = "measures") -> DataFr
     Windows are compared by 64-bit hashes of their words; sorted, repeats are neighbours, and only texts that have a
     repeat sort. No shuffle; a whole text is one row's work.
     """
-    held, columns = "__text", without(df, (into,)).columns
-    base = without(df, (into,)).withColumn(held, F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    base = without(df, (into,))
+    columns = base.columns
+    held, words_at, windows, lines, pairs, starts = spare_names(base, "text_", "words_", "windows_", "lines_", "pairs_", "starts_")
+    base = base.withColumn(held, F.coalesce(F.col(f"`{text}`"), F.lit("")))
     words = F.array_remove(F.split(F.col(held), f"[{SEPARATORS}]+"), "")
-    base = base.withColumn("__words", words)
-    n = F.size("__words")
+    base = base.withColumn(words_at, words)
+    n = F.size(words_at)
     base = base.withColumn(
-        "__windows",
+        windows,
         F.when(
             n >= WINDOW,
-            F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*[F.get(F.col("__words"), i + k) for k in range(WINDOW)])),
+            F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*[F.get(F.col(words_at), i + k) for k in range(WINDOW)])),
         ).otherwise(F.array().cast("array<bigint>")),
-    ).withColumn("__lines", F.filter(F.split(F.col(held), "\n"), lambda line: line.rlike(f"[^{SEPARATORS}]")))
+    ).withColumn(lines, F.filter(F.split(F.col(held), "\n"), lambda line: line.rlike(f"[^{SEPARATORS}]")))
     # Each step is a column of its own, read more than once, so that none is computed again inside a later lambda.
-    repeated = F.size(F.array_distinct("__windows")) < F.size("__windows")
+    repeated = F.size(F.array_distinct(windows)) < F.size(windows)
     base = base.withColumn(
-        "__pairs",
-        F.when(repeated, F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("at"))))),
-    ).withColumn("__starts", F.when(F.col("__pairs").isNotNull(), _starts(F.col("__pairs"))))
+        pairs,
+        F.when(repeated, F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("at"))))),
+    ).withColumn(starts, F.when(F.col(pairs).isNotNull(), _starts(F.col(pairs))))
     count = lambda pattern: F.regexp_count(F.col(held), F.lit(pattern)).cast("long")
     measured = base.select(
         *[F.col(f"`{c}`") for c in columns],
         F.struct(
             n.cast("long").alias("n_words"),
-            F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
+            F.length(F.array_join(words_at, "")).cast("long").alias("word_chars"),
             count(SYMBOLS).alias("n_symbols"),
-            F.size("__lines").cast("long").alias("n_lines"),
-            (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-            F.when(F.col("__starts").isNull(), F.lit(0).cast("long")).otherwise(_covered(F.col("__starts"))).alias("n_repeat_words"),
+            F.size(lines).cast("long").alias("n_lines"),
+            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+            F.when(F.col(starts).isNull(), F.lit(0).cast("long")).otherwise(_covered(F.col(starts))).alias("n_repeat_words"),
             count("[A-Z]").alias("n_capitals"),
             (F.length(held) - F.length(F.replace(F.col(held), F.lit("!"), F.lit("")))).cast("long").alias("n_exclamations"),
         ).alias(into),
@@ -129,8 +131,9 @@ def passes(failed: Column, policy: str) -> Column:
 
 def keep(df: DataFrame, policy: str = "v1", text: str = "text") -> DataFrame:
     """Rows that pass the policy, with the columns of ``df`` as they were (also ``measures`` or ``failed``, if it has them)."""
-    judged = measure(df, text, "__measures")
-    return judged.where(passes(failures(F.col("__measures")), policy)).select(*[F.col(f"`{c}`") for c in df.columns])
+    (into,) = spare_names(df, "measures")
+    judged = measure(df, text, into)
+    return judged.where(passes(failures(F.col(into)), policy)).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def ablations(ledgers: DataFrame, policies: Mapping[str, int] | None = None) -> DataFrame:
