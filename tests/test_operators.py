@@ -249,6 +249,26 @@ def test_similar_top_k_groups_stay_bounded(spark, monkeypatch):
     assert keep is retrieval._best and max(sizes) < 2 * 50 and sizes[1] < 2 * sizes[0]
 
 
+def test_similar_top_k_sends_no_row_more_often_than_copies(spark, monkeypatch):
+    """Small blocks asked for on large tables grow, so that rows are not sent once for each of hundreds of blocks."""
+    monkeypatch.setattr(retrieval, "COPIES", 3)
+    df = spark.range(90).selectExpr("id AS vec_id", "array(sin(id), cos(id)) AS embedding")
+    met = []
+    real = retrieval._grid
+    monkeypatch.setattr(retrieval, "_grid", lambda *a: met.append(real(*a)) or met[-1])
+    found = retrieval.similar_top_k(df, df, 2, query_rows=5, corpus_rows=5)
+    vectors = [(r.vec_id, r.embedding) for r in df.collect()]
+    assert {(r.query_id, r.neighbour_id, r["rank"]) for r in found.collect()} == _brute(vectors, range(90), 2)
+    assert met == [3, 3] and real(10**6, 200, 8192) == -(-10**6 // 8192)
+
+
+def test_similar_top_k_ties_after_rounding_go_to_the_smaller_id(spark):
+    rows = [(0, [1.0, 0.0])] + [(i, [1.0, i * 1e-6]) for i in range(9, 0, -1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = retrieval.similar_top_k(df.where("vec_id = 0"), df, 3).collect()
+    assert [(r.neighbour_id, r.score) for r in sorted(found, key=lambda r: r["rank"])] == [(1, 1.0), (2, 1.0), (3, 1.0)]
+
+
 def test_precision_at_k(frame):
     found = frame("query_id long, neighbour_id long, rank int", (1, 10, 1), (1, 11, 2), (2, 10, 1), (2, 12, 2))
     truth = frame("query_id long, neighbour_id long", (1, 10), (2, 10), (2, 12), (2, 12))

@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _OUT = "query_id long, neighbour_id long, score double"
+#: Queries whose scores against a block of the corpus are held at a time; bounds memory.
+TILE_ROWS = 128
+#: Blocks a side is cut into, so copies of the other side's rows, before its blocks grow beyond what was asked for.
+COPIES = 16
+#: Rows to which blocks of queries and of the corpus may grow.
+QUERY_ROWS, CORPUS_ROWS = 8192, 16384
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -18,18 +24,32 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 def _best(query_ids: np.ndarray, query_unit: np.ndarray, ids: np.ndarray, unit: np.ndarray, k: int) -> pd.DataFrame:
     """Top ``k`` of one slice of the corpus for each query: all the slice can contribute to the answer."""
-    scores = np.round(query_unit @ unit.T, 9)
     parts = []
-    for row, query in enumerate(query_ids):
-        line = np.where(ids == query, -np.inf, scores[row])
-        # Everything that ties with the k-th stays until ids have decided.
-        near = np.flatnonzero(line >= np.partition(line, -k)[-k]) if len(line) > k else np.arange(len(line))
-        order = near[np.lexsort((ids[near], -line[near]))][:k]
-        order = order[np.isfinite(line[order])]
-        parts.append(pd.DataFrame({"query_id": query, "neighbour_id": ids[order], "score": line[order]}))
+    for start in range(0, len(query_ids), TILE_ROWS):
+        asked = query_ids[start : start + TILE_ROWS]
+        scores = query_unit[start : start + TILE_ROWS] @ unit.T
+        scores[asked[:, None] == ids] = -np.inf
+        scores[np.isnan(scores)] = -np.inf
+        if len(ids) > k:
+            # Whatever may tie with the k-th once rounded stays until ids have decided.
+            near = scores >= np.partition(scores, -k, axis=1)[:, -k, None] - 2e-9
+        else:
+            near = np.ones(scores.shape, bool)
+        row, column = np.nonzero(near & np.isfinite(scores))
+        line, found = np.round(scores[row, column], 9), ids[column]
+        order = np.lexsort((found, -line, row))
+        row, line, found = row[order], line[order], found[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        keep = place < k
+        parts.append(pd.DataFrame({"query_id": asked[row[keep]], "neighbour_id": found[keep], "score": line[keep]}))
     return pd.concat(parts) if parts else pd.DataFrame(columns=["query_id", "neighbour_id", "score"])
 
 
+def _grid(rows: int, block: int, largest: int) -> int:
+    """Blocks of ``block`` rows, but no more than COPIES of them until they have grown to ``largest`` rows."""
+    return max(1, min(-(-rows // block), max(COPIES, -(-rows // max(block, largest)))))
+
+
 def similar_top_k(
     queries: DataFrame, corpus: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
     query_rows: int = 2048, corpus_rows: int = 16384,
@@ -37,13 +57,14 @@ def similar_top_k(
     """Exact ``k`` nearest rows of the corpus per query by cosine; a query does not find itself.
 
     Filter ``corpus`` on its metadata first; the filter reaches the scan. Queries and corpus are cut by a hash of the
-    whole row into blocks of about ``query_rows`` and ``corpus_rows`` rows, as many as their counts ask for, and each
-    pair of blocks meets in a group of that size whatever the tables hold. A block of the corpus returns at most ``k``
-    rows per query, so pairs are never produced, and the merge keeps ``k`` per query map-side as well. Runs two counts.
+    whole row into blocks of about ``query_rows`` and ``corpus_rows`` rows, and each pair of blocks meets in a group. Every
+    row is sent once for each block of the other side: beyond COPIES blocks they grow, to QUERY_ROWS and CORPUS_ROWS rows
+    at most, so a group stays bounded whatever the tables hold. A block of the corpus returns at most ``k`` rows per
+    query, so pairs are never produced, and the merge keeps ``k`` per query map-side as well. Runs two counts.
     """
     q = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
     c = corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
-    blocks, slices = max(1, -(-q.count() // query_rows)), max(1, -(-c.count() // corpus_rows))
+    blocks, slices = _grid(q.count(), query_rows, QUERY_ROWS), _grid(c.count(), corpus_rows, CORPUS_ROWS)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     spread = lambda seed, n: F.pmod(F.xxhash64("id", "v", F.lit(seed)), F.lit(n)).cast("int")
     left = q.withColumn("block", spread(1, blocks)).withColumn("slice", every(slices))
