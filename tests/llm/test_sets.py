@@ -238,6 +238,18 @@ def test_pipeline_returns_the_mix_in_its_order(spark):
         assert max(words.values()) - min(words[s] for s in "abc") <= 2 * (mixing.BLOCK_WORDS + 4900)
 
 
+def test_last_stage_keeps_the_order_it_is_given(spark, monkeypatch):
+    """It reads the order of the stage before from the files and mixes nothing itself."""
+    rows = [(i, "word " * (1 + i * 7 % 90), "en", "abc"[i % 3], 1) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    monkeypatch.setattr(mixing, "mix", None)
+    for key in (F.desc("doc_id"), F.xxhash64("doc_id")):
+        given = docs.orderBy(key)
+        again = cut_lineage(given.repartitionByRange(7, key).sortWithinPartitions(key), "given")
+        got = [r.doc_id for r in corpus_pipeline.bpe_round_trip(spark, again, "").collect()]
+        assert got == [r.doc_id for r in given.collect()]
+
+
 def test_pipeline_stages_on_odd_rows(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, words int, block string, slot int, ids string, measures int"
     plain = "the quick brown fox jumps over the lazy dog near the old river bank today"

@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
@@ -252,14 +252,15 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
-def digests(df: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the ids (decimal, joined by commas) and of the decoded text."""
-    coded = encode(df.select("doc_id", "text"), path)
+def digests(df: DataFrame, path: str, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_tokens, SHA-256 of the ids (decimal, joined by commas) and of the decoded text, and the columns ``keep``."""
+    coded = encode(df.select("doc_id", "text", *keep), path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        *keep,
     )
 
 
