@@ -269,6 +269,21 @@ def test_similar_top_k_ties_after_rounding_go_to_the_smaller_id(spark):
     assert [(r.neighbour_id, r.score) for r in sorted(found, key=lambda r: r["rank"])] == [(1, 1.0), (2, 1.0), (3, 1.0)]
 
 
+def test_model_rows_are_built_once(spark):
+    """Scan, split, training, scoring and counting read what was written: the frame's own plan runs a single time."""
+    built = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            built.add(batch.num_rows)
+            yield batch
+
+    rows = [(str(i), i % 2) for i in range(40)]
+    features = spark.createDataFrame(rows, "order_id string, label int").mapInArrow(counted, "order_id string, label int")
+    whole, train, test = ml.split_once(features, ["order_id"])
+    assert whole.count() == train.count() + test.count() == built.value == 40
+
+
 def test_precision_at_k(frame):
     found = frame("query_id long, neighbour_id long, rank int", (1, 10, 1), (1, 11, 2), (2, 10, 1), (2, 12, 2))
     truth = frame("query_id long, neighbour_id long", (1, 10), (2, 10), (2, 12), (2, 12))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.ladders import risk_band
 from ..operators import retrieval
-from ..operators.windows import train_test_split
 from ..plans import ml, text
 from .aggregates import AGREE
 from .bound import STAMP, Bound
@@ -19,8 +18,8 @@ from .oracle import half_up, mean, pct, pct_where
 from .registry import check
 
 
-def _split(b: Bound) -> tuple[DataFrame, DataFrame]:
-    return train_test_split(b.features, ["order_id"], 0.2, stratify="label")
+def _split(b: Bound) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return ml.split_once(b.features, ["order_id"])
 
 
 def _code(state: str) -> str:
@@ -49,7 +48,8 @@ def _(b):
 
 @check("ML2_train_logistic_regressions")
 def _(b):
-    runs, _models = ml.run_experiments(*_split(b))
+    _all, train, test = _split(b)
+    runs, _models = ml.run_experiments(train, test)
     return runs.select("run", "reg", "iterations", "elastic_net", "weighted", *[
         F.round(c, 3).alias(c) for c in ("auc_roc", "auc_pr", "accuracy", "precision", "recall", "f1")
     ])
@@ -84,7 +84,7 @@ def _(b):
 
 @check("ML4_evaluate_held_out")
 def _(b):
-    train, test = _split(b)
+    _all, train, test = _split(b)
     metrics = ml.evaluate(ml.predict(ml.train_lr(train, 0.01, 100, 0.0, weighted=False), test))
     row = [F.struct(F.lit(n).alias("metric"), F.lit(round(v, 3)).alias("value")) for n, v in metrics.items()]
     return test.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.inline(F.array(*row)))
@@ -109,7 +109,7 @@ def _(b):
 
 @check("ML6_coef_importance")
 def _(b):
-    train, _test = _split(b)
+    _all, train, _test = _split(b)
     table = ml.coef_importance(ml.train_lr(train, 0.01, 100, 0.0, weighted=False), train)
     return table.select("feature", F.round("importance", 2).alias("importance"))
 
@@ -135,17 +135,17 @@ def _(b):
 
 @check("ML8_score_batch")
 def _(b):
-    train, _test = _split(b)
+    features, train, _test = _split(b)
     model = ml.train_lr(train, 0.01, 100, 0.0, weighted=False)
-    scored = ml.score_batch(model, b.features, "v1", "late_delivery", STAMP)
+    scored = ml.score_batch(model, features, "v1", "late_delivery", STAMP)
     return scored.withColumn("probabilidade_falha", F.round("probabilidade_falha", 3))
 
 
 @check("ML8_score_batch_consistent", """
     SELECT order_id, label, true AS faixa_certa, true AS classe_certa, 'v1' AS modelo_versao FROM g_features""")
 def _(b):
-    train, _test = _split(b)
-    scored = ml.score_batch(ml.train_lr(train, 0.01, 100, 0.0, weighted=False), b.features, "v1", "late_delivery", STAMP)
+    features, train, _test = _split(b)
+    scored = ml.score_batch(ml.train_lr(train, 0.01, 100, 0.0, weighted=False), features, "v1", "late_delivery", STAMP)
     p = F.col("probabilidade_falha")
     return scored.select(
         "order_id", "label", ((p >= 0) & (p <= 1) & (F.col("risco_atraso") == risk_band(p))).alias("faixa_certa"),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, ladders
 from ..functions import scalars as S
-from ..operators.windows import share_of_total
+from ..operators.windows import share_of_total, train_test_split
 from ..session import cut_lineage
 
 INPUTS = [*fixed.MODEL_NUMERIC, *[f"{c}_idx" for c in fixed.MODEL_STATES]]
@@ -50,6 +50,15 @@ def class_weights(df: DataFrame, label: str = "label", name: str = "weight") ->
     return df.withColumn(name, F.when(F.col(label) == 1, weight).otherwise(F.lit(1.0)))
 
 
+def split_once(features: DataFrame, keys: list[str], test_share: float = 0.2) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The features, and their two sides stratified by label: all three read rows that are written once.
+
+    Cut-offs, encodings, training, scoring and counts each pass over their rows, which must not build the features again.
+    """
+    written = cut_lineage(features, "features")
+    return written, *train_test_split(written, keys, test_share, stratify="label")
+
+
 def train_lr(train: DataFrame, reg: float, iterations: int, elastic_net: float, weighted: bool) -> PipelineModel:
     """Fit encodings and classifier together. Runs the training jobs."""
     data = prepare(train)
