@@ -126,6 +126,16 @@ def test_stream_equals_batch(spark, tmp_path, rows_of):
     assert rows_of(streamed, *measures) == rows_of(batch, *measures)
 
 
+def test_landed_documents_are_compressed_and_read_back_whole(spark, tmp_path, rows_of):
+    docs = _docs(spark)
+    for write, name in ((documents.write_json, "flat"), (documents.write_daily_json, "days")):
+        write(docs, str(tmp_path / name))
+        files = [p for p in (tmp_path / name).rglob("part-*")]
+        assert files and all(p.name.endswith(".json.gz") for p in files)
+        back = documents.read_nested_json(spark, str(tmp_path / name)).select(docs.columns)
+        assert rows_of(back) == rows_of(docs)
+
+
 def test_null_payment_makes_the_total_null_unless_skipped(spark):
     docs = _docs(spark).where("order_id = 'o0'")
     assert orders.stream_enrich(docs).first().total_order_value is None

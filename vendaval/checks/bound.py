@@ -17,7 +17,7 @@ from ..functions.ladders import risk_band
 from ..operators.quality import apply_rules
 from ..plans import gold, silver
 from ..session import scratch_path
-from ..sources.documents import assemble_orders, read_nested_json
+from ..sources.documents import assemble_orders, read_nested_json, write_json
 from ..sources.files import read_table
 
 AS_OF = date(2001, 8, 15)
@@ -198,7 +198,7 @@ class Bound:
     def json_documents(self) -> DataFrame:
         """The same documents, landed as JSON lines and read back."""
         path = scratch_path(self.spark, "landing")
-        self.documents.write.json(path)
+        write_json(self.documents, path)
         return read_nested_json(self.spark, path)
 
     # ---- clean ---------------------------------------------------------------------------------------------------

@@ -10,6 +10,7 @@ from ..plans import silver
 from ..schemas import order_document
 from ..session import scratch_path
 from ..sources import streams
+from ..sources.documents import write_json
 from ..streaming import changes, orders
 from .bound import Bound
 from .oracle import dbl, txt
@@ -51,7 +52,7 @@ def _settled(gmv: DataFrame) -> DataFrame:
 
 def _document_files(b: Bound) -> str:
     path = scratch_path(b.spark, "documents")
-    b.documents.write.json(path)
+    write_json(b.documents, path)
     return path
 
 

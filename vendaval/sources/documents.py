@@ -73,8 +73,13 @@ def assemble_orders(
     )
 
 
+def write_json(documents: DataFrame, path: str) -> None:
+    """JSON lines, compressed: names and times repeat in every document, and readers take the codec from the file name."""
+    documents.write.json(path, compression="gzip")
+
+
 def write_daily_json(documents: DataFrame, path: str) -> None:
-    """One folder of JSON lines per purchase day, the arrival pattern a stream picks up."""
+    """One folder of compressed JSON lines per purchase day, the arrival pattern a stream picks up."""
     day = F.to_date(F.col("timestamps.purchase"))
     dated = documents.withColumn("purchase_date", day).hint("rebalance", "purchase_date")
-    dated.write.mode("overwrite").partitionBy("purchase_date").json(path)
+    dated.write.mode("overwrite").partitionBy("purchase_date").json(path, compression="gzip")
