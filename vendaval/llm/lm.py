@@ -109,24 +109,37 @@ def _features(one: np.ndarray, two: np.ndarray, klass: np.ndarray) -> tuple[list
     return outer, inner
 
 
-def _log_softmax(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+def _logits(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Sums of the active rows, less their greatest."""
     z = table.take(rows[0], 0)
     for r in rows[1:]:
         z += table.take(r, 0)
     z -= z.max(1, keepdims=True)
+    return z
+
+
+def _log_softmax(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    z = _logits(table, rows)
     z -= np.log(np.exp(z).sum(1, keepdims=True))
     return z
 
 
+def _log_softmax_at(table: np.ndarray, rows: list[np.ndarray], target: np.ndarray) -> np.ndarray:
+    """``_log_softmax`` of one column a row, without the others."""
+    z = _logits(table, rows)
+    found = z[np.arange(len(z)), target]
+    return found - np.log(np.exp(z, out=z).sum(1))
+
+
 def cell_log10(tables: tuple[np.ndarray, np.ndarray], cells: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """log10 P(cell | h) of every token; texts end to end, ``starts`` their first tokens."""
     one, two = _histories(cells, starts)
     out = np.empty(len(cells))
     for s in range(0, len(cells), BATCH):
         here = cells[s : s + BATCH]
-        klass, row = here // WIDTH, np.arange(len(here))
+        klass = here // WIDTH
         outer, inner = _features(one[s : s + BATCH], two[s : s + BATCH], klass)
-        out[s : s + BATCH] = _log_softmax(tables[0], outer)[row, klass] + _log_softmax(tables[1], inner)[row, here % WIDTH]
+        out[s : s + BATCH] = _log_softmax_at(tables[0], outer, klass) + _log_softmax_at(tables[1], inner, here % WIDTH)
     return out / np.log(10)
 
 
@@ -138,7 +151,8 @@ def learn(own: Weights, cells: np.ndarray, starts: np.ndarray) -> None:
         klass, row = here // WIDTH, np.arange(len(here))
         kinds = _features(one[s : s + BATCH], two[s : s + BATCH], klass)
         for k, target in ((0, klass), (1, here % WIDTH)):
-            error = np.exp(_log_softmax(own.tables[k], kinds[k]))
+            error = _log_softmax(own.tables[k], kinds[k])
+            np.exp(error, out=error)
             error[row, target] -= 1
             rows = np.concatenate(kinds[k])
             marked = np.bincount(rows, minlength=ROWS[k])
