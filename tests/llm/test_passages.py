@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,3 +58,24 @@ def test_repeated_ids_and_no_rows(spark):
     assert [(r.doc_id, r.n_removed) for r in got] == [(1, 0), (1, 30), (1, 30), (1, 30), (1, 30), (2, 30)]
     assert [tuple(s) for s in got[-1].spans] == [(1, 31)] and got[0].spans == []
     assert passages.digest(df.where("false")).collect() == []
+
+
+def test_the_automaton_reads_only_parts_that_can_hold_a_phrase():
+    rng = np.random.default_rng(5)
+    flat, phrase = rng.integers(0, 1000, 5000), np.arange(2000, 2020)
+    for start in (100, 2000, 2025, 4980):
+        flat[start : start + 20] = phrase
+    flat[3000:3019] = phrase[:19]  # a word short
+    assert passages._spans(flat, np.array([5000]), np.array([100])) == [(100, 120), (2000, 2020), (2025, 2045), (4980, 5000)]
+    assert passages._spans(flat, np.array([2010, 2990]), np.array([100])) == [(100, 120), (2025, 2045), (4980, 5000)]  # two texts
+    assert passages._spans(np.full(50, 7), np.array([50]), np.array([4])) == [(0, 50)]
+
+
+def test_letters_are_equal_where_words_are_and_nodes_have_few_children():
+    flat = np.random.default_rng(6).integers(0, 3, 20_000)
+    digits = passages._letters(flat)
+    words = [tuple(flat[i : i + passages.LETTER].tolist()) for i in range(len(digits))]
+    assert len(digits) == len(flat) - passages.LETTER + 1 and len(set(zip(words, map(tuple, digits.tolist())))) == len(set(words))
+    distinct = passages._letters(np.arange(10_000))
+    assert len(set(map(tuple, distinct.tolist()))) == len(distinct) and len(np.unique(distinct)) <= 202
+    assert not set(distinct[:, 0]) & set(distinct[:, 1])

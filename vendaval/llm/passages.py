@@ -7,36 +7,42 @@ A phrase is WINDOW consecutive words. The first occurrence of a phrase, by docum
 2. Anchors, the least of each run of hashed word groups, are the same wherever a phrase stands. Anchors that occur in one text
    only, and once in it, are out; phrases around the others are hashed, one row for each phrase and block, and counted. What
    occurs twice is a recurring phrase, known by its first occurrence and by one place in each block that holds it.
-3. Each block compiles its recurring phrases, read from these places, into an Aho-Corasick automaton over its word numbers, and
-   streams all its documents through it, which locates every occurrence word by word. A block's automaton is one shard of
+3. Each block compiles its recurring phrases, read from these places, into an Aho-Corasick automaton over the numbers of its
+   words, five to a letter, and streams all parts of its documents that can hold one through it, which locates every occurrence. A block's automaton is one shard of
    the automaton of the whole corpus: it holds the phrases that occur there, and no document meets any other shard.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, release
 from .batches import byte_texts, slices
-from .neardup import WordHashes
 from .order import positions
 
 #: Words of a phrase, and of the groups whose least hash anchors it.
 WINDOW, GROUP = 20, 8
 #: Text bytes of a block; one text may be longer.
 BLOCK_BYTES = 2 << 20
-#: Phrases of one automaton, about 1 KB each in memory; a block with more compiles one after the other.
+#: Phrases of one automaton, 0.2 KB each in memory; a block with more compiles one after the other.
 SHARD_PHRASES = 50_000
-REMEMBERED = 300_000
+#: Words that are one letter of an automaton; WINDOW is a multiple.
+LETTER = 5
+#: Bits of a word group's hash by which a block's text is compared with its phrases before the automaton reads it.
+SEEN_BITS = 22
 
 _ODD = np.random.default_rng(11).integers(1, 2**63, WINDOW, dtype="u8") | np.uint64(1)
 _SECOND = np.random.default_rng(12).integers(1, 2**63, WINDOW, dtype="u8") | np.uint64(1)
@@ -48,8 +54,17 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(words: list[bytes], memory: WordHashes) -> np.ndarray:
-    return np.fromiter(map(memory.__getitem__, words), "u8", len(words))
+def word_numbers(words: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(number of every word of texts end to end, the word of each number, words of each text)."""
+    split = pc.split_pattern(words, " ")
+    coded = split.values.dictionary_encode()
+    return coded.indices.to_numpy().astype("i8"), coded.dictionary, np.diff(split.offsets.to_numpy()).astype("i8")
+
+
+def word_hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word of texts end to end, words of each text)."""
+    numbers, known, lengths = word_numbers(words)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, known.to_pylist()), "u8", len(known))[numbers], lengths
 
 
 def windows(h: np.ndarray, size: int, factors: np.ndarray = _ODD) -> np.ndarray:
@@ -63,13 +78,17 @@ def windows(h: np.ndarray, size: int, factors: np.ndarray = _ODD) -> np.ndarray:
     return _mixed(total)
 
 
-def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word group, place of the anchor of every phrase): its least group, the leftmost of equals."""
+def anchors(h: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of every word group, start of every phrase, place of its anchor): its least group, the leftmost of equals.
+
+    ``h`` are texts of ``lengths`` end to end; a phrase lies in one of them. Places of anchors ascend.
+    """
     groups = windows(h, GROUP)
-    reach = WINDOW - GROUP + 1
-    if len(groups) < reach:
-        return groups, np.zeros(0, "i8")
-    return groups, np.lib.stride_tricks.sliding_window_view(groups, reach).argmin(1) + np.arange(len(groups) - reach + 1)
+    starts = np.arange(len(h))
+    starts = starts[starts + WINDOW <= np.repeat(np.cumsum(lengths), lengths)]
+    if not len(starts):
+        return groups, starts, starts
+    return groups, starts, starts + np.lib.stride_tricks.sliding_window_view(groups, WINDOW - GROUP + 1).argmin(1)[starts]
 
 
 def blocks(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -105,21 +124,15 @@ def _anchor_counts(texts: DataFrame) -> DataFrame:
     """block, anchor, low, high: least and greatest print (64 bits) of the block's texts with the anchor; apart if one has it twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = WordHashes()
         for batch in slices(batches, "words"):
-            if len(memory) > REMEMBERED:
-                memory.clear()
-            rows = zip(batch.column("block").to_pylist(), batch.column("print").to_pylist(), batch.column("words").to_pylist())
-            own, prints, where = [], [], []
-            for block, print_, words in rows:
-                groups, at = anchors(word_hashes(words.split(), memory))
-                if len(at):
-                    own.append(groups[np.unique(at)])
-                    prints.append(np.full(len(own[-1]), np.frombuffer(print_[:8], "i8")[0]))
-                    where.append(np.full(len(own[-1]), block))
-            if not own:
+            h, lengths = word_hashes(batch.column("words"))
+            groups, _, at = anchors(h, lengths)
+            at = at[np.diff(at, prepend=-1) > 0]
+            if not len(at):
                 continue
-            hashes, print64, block = map(np.concatenate, (own, prints, where))
+            text = np.searchsorted(np.cumsum(lengths), at, "right")
+            hashes, block = groups[at], batch.column("block").to_numpy()[text]
+            print64 = np.array([np.frombuffer(p[:8], "i8")[0] for p in batch.column("print").to_pylist()])[text]
             order = np.lexsort((print64, hashes, block))
             hashes, print64, block = hashes[order], print64[order], block[order]
             starts = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (block[1:] != block[:-1])])
@@ -147,11 +160,12 @@ def _recurring_anchors(texts: DataFrame) -> DataFrame:
     return recurring
 
 
-def _texts_of(own: pa.Table, numbers: pa.Table) -> list[tuple[int, list[bytes]]]:
+def _texts_of(own: pa.Table, numbers: pa.Table) -> tuple[np.ndarray, pa.Array]:
     """(number, words) of the numbered rows of a block."""
-    given = {r: s for r, s in zip(numbers.column("row").to_pylist(), numbers.column("seq").to_pylist()) if r is not None}
-    rows = zip(own.column("row").to_pylist(), own.column("words").to_pylist())
-    return [(given[r], w.split()) for r, w in rows if r in given]
+    numbers = numbers.filter(pc.is_valid(numbers.column("row")))
+    at = pc.index_in(own.column("row"), numbers.column("row")).combine_chunks()
+    words = own.column("words").filter(pc.is_valid(at)).combine_chunks()
+    return numbers.column("seq").to_numpy()[at.drop_null().to_numpy()], words
 
 
 def _with_blocks(rows: DataFrame, numbered: DataFrame, more: DataFrame):
@@ -169,19 +183,19 @@ def _phrases(rows: DataFrame, numbered: DataFrame, wanted: DataFrame) -> DataFra
         keep = np.unique(beside.column("anchor").drop_null().to_numpy().view("u8"))
         if not own.num_rows or not len(keep):
             return kinds.empty_table()
-        memory, found = WordHashes(), []
-        for seq, words in _texts_of(own, beside):
-            h = word_hashes(words, memory)
-            groups, at = anchors(h)
-            anchor = groups[at]
-            place = np.minimum(np.searchsorted(keep, anchor), len(keep) - 1)
-            start = np.flatnonzero(keep[place] == anchor)
-            if len(start):
-                second = (windows(h, WINDOW, _SECOND)[start] >> np.uint64(32)).astype("u4").view("i4")
-                found.append((windows(h, WINDOW)[start], second, np.full(len(start), seq), start))
-        if not found:
+        seqs, words = _texts_of(own, beside)
+        h, lengths = word_hashes(words)
+        groups, start, at = anchors(h, lengths)
+        turn = np.diff(at, prepend=-1) > 0
+        anchor = groups[at[turn]]
+        start = start[(keep[np.minimum(np.searchsorted(keep, anchor), len(keep) - 1)] == anchor)[np.cumsum(turn) - 1]]
+        if not len(start):
             return kinds.empty_table()
-        phrase, second, seq, start = map(np.concatenate, zip(*found))
+        phrase, second = (_mixed(sum((h[start + k] * f[k] for k in range(WINDOW)), np.uint64(WINDOW))) for f in (_ODD, _SECOND))
+        second = (second >> np.uint64(32)).astype("u4").view("i4")
+        ends = np.cumsum(lengths)
+        text = np.searchsorted(ends, start, "right")
+        seq, start = seqs[text], start - (ends - lengths)[text]
         order = np.lexsort((start, seq, second, phrase))
         phrase, second, seq, start = phrase[order], second[order], seq[order], start[order]
         first = np.flatnonzero(np.r_[True, (phrase[1:] != phrase[:-1]) | (second[1:] != second[:-1])])
@@ -193,7 +207,7 @@ def _phrases(rows: DataFrame, numbered: DataFrame, wanted: DataFrame) -> DataFra
 
 
 def automaton(phrases: list[tuple[int, ...]]) -> ahocorasick.Automaton:
-    """Automaton over word numbers; a match gives the number of its phrase."""
+    """Automaton over the digits of letters; a match gives the number of its phrase."""
     made = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
     for i, phrase in enumerate(phrases):
         made.add_word(phrase, i)
@@ -201,10 +215,40 @@ def automaton(phrases: list[tuple[int, ...]]) -> ahocorasick.Automaton:
     return made
 
 
+def _spans(flat: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
+    """(from, to) of the parts of texts of ``lengths`` end to end whose word groups all hash like groups of the phrases at ``at``; no
+    phrase stands elsewhere."""
+    inside = WINDOW - GROUP + 1
+    groups = windows(flat.astype("u8"), GROUP) >> np.uint64(64 - SEEN_BITS)
+    edges = np.bincount(at, minlength=len(groups) + 1) - np.bincount(at + inside, minlength=len(groups) + 1)
+    seen = np.zeros(1 << SEEN_BITS, bool)
+    seen[groups[np.cumsum(edges)[:-1] > 0]] = True
+    hit = seen[groups]
+    ends = np.cumsum(lengths)[:-1]
+    for k in range(1, GROUP):  # groups across the end of a text
+        hit[ends[ends < len(hit) + k] - k] = False
+    turns = np.flatnonzero(np.diff(np.r_[False, hit, False]))
+    return [(a, b + GROUP - 1) for a, b in turns.reshape(-1, 2).tolist() if b - a >= inside]
+
+
+def _letters(flat: np.ndarray) -> np.ndarray:
+    """Two digits for each LETTER consecutive words, the same where the words are.
+
+    First and second digits differ. There are about as many of each as the root of the number of letters, so that no node of an
+    automaton has many children.
+    """
+    name, many = flat, int(flat.max()) + 1
+    for k in range(1, LETTER):
+        name = pd.factorize(name[:-1] * many + flat[k:])[0]
+    base = math.isqrt(len(name)) + 1
+    return np.stack([name // base, name % base + base], axis=1)
+
+
 def _located(rows: DataFrame, numbered: DataFrame, recurring: DataFrame) -> DataFrame:
     """seq, ends (from and to in words, alternately), n_removed, kept (SHA-256 of what stays) of the texts that lose words.
 
-    ``recurring`` has block, at (seq and start of one place in the block) and first (those of the first occurrence of all).
+    ``recurring`` has block, at (seq and start of one place in the block) and first (those of the first occurrence of all). The
+    automaton reads the parts of the texts that can hold one of its phrases.
     """
     kinds = pa.schema([("seq", pa.int64()), ("ends", pa.list_(pa.int64())), ("n_removed", pa.int64()), ("kept", pa.binary())])
 
@@ -212,26 +256,41 @@ def _located(rows: DataFrame, numbered: DataFrame, recurring: DataFrame) -> Data
         known = beside.filter(pc.is_valid(beside.column("at_seq")))
         if not own.num_rows or not known.num_rows:
             return kinds.empty_table()
-        numbers: dict[bytes, int] = {}
-        texts = {s: (w, tuple([numbers.setdefault(x, len(numbers)) for x in w])) for s, w in _texts_of(own, beside)}
-        places, firsts = ([*zip(known.column(f"{x}_seq").to_pylist(), known.column(f"{x}_start").to_pylist())] for x in ("at", "first"))
+        seqs, words = _texts_of(own, beside)
+        flat, _, lengths = word_numbers(words)
+        opens = np.cumsum(lengths) - lengths
+        by_seq = np.argsort(seqs)
+
+        def place(kind: str) -> np.ndarray:
+            """Where a place is in ``flat``, -1 in another block."""
+            seq, start = (known.column(f"{kind}_{x}").to_numpy() for x in ("seq", "start"))
+            at = by_seq[np.minimum(np.searchsorted(seqs, seq, sorter=by_seq), len(seqs) - 1)]
+            return np.where(seqs[at] == seq, opens[at] + start, -1)
+
+        at, first = place("at"), place("first")
+        spans, letters, steps, later = _spans(flat, lengths, at), _letters(flat), np.arange(0, WINDOW, LETTER), []
+        for shard in range(0, len(at), SHARD_PHRASES):
+            machine = automaton([*map(tuple, letters[at[shard : shard + SHARD_PHRASES, None] + steps].reshape(-1, 2 * len(steps)).tolist())])
+            for a, b in spans:
+                for turn in range(a, a + LETTER):  # a stream for each way of cutting the span into letters
+                    met = np.fromiter(chain.from_iterable(machine.iter(tuple(letters[turn : b - LETTER + 1 : LETTER].ravel().tolist()))), "i8").reshape(-1, 2)
+                    start = turn + LETTER * (met[:, 0] // 2 + 1) - WINDOW
+                    later.append(start[start != first[shard + met[:, 1]]])
+        later = np.sort(np.concatenate([*later, np.zeros(0, "i8")]))
+        text = np.searchsorted(opens, later, "right") - 1
         starts: dict[int, list[int]] = {}
-        for shard in range(0, len(places), SHARD_PHRASES):
-            machine = automaton([texts[s][1][at : at + WINDOW] for s, at in places[shard : shard + SHARD_PHRASES]])
-            for seq, (_, ids) in texts.items():
-                later = [end - WINDOW + 1 for end, i in machine.iter(ids) if firsts[shard + i] != (seq, end - WINDOW + 1)]
-                if later:
-                    starts.setdefault(seq, []).extend(later)
+        for i, start in zip(text.tolist(), (later - opens[text]).tolist()):
+            starts.setdefault(i, []).append(start)
         out = []
-        for seq, found in starts.items():
-            words, ends = texts[seq][0], []
-            for start in sorted(found):
+        for i, found in starts.items():
+            own_words, ends = words[i].as_py().split(), []
+            for start in found:
                 if ends and start <= ends[-1]:
                     ends[-1] = start + WINDOW
                 else:
                     ends += (start, start + WINDOW)
-            stay = [w for a, b in zip([0, *ends[1::2]], [*ends[::2], len(words)]) for w in words[a:b]]
-            out.append((seq, ends, len(words) - len(stay), hashlib.sha256(b" ".join(stay)).digest()))
+            stay = [w for a, b in zip([0, *ends[1::2]], [*ends[::2], len(own_words)]) for w in own_words[a:b]]
+            out.append((int(seqs[i]), ends, len(own_words) - len(stay), hashlib.sha256(b" ".join(stay)).digest()))
         return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * 4, kinds.types)], schema=kinds)
 
     return _with_blocks(rows, numbered, recurring).applyInArrow(run, "seq long, ends array<long>, n_removed long, kept binary")
@@ -257,7 +316,9 @@ def repeated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     hashes = ["phrase", "second"]
     counted = found.groupBy(*hashes).agg(F.sum("n").alias("n"), F.min(F.struct("seq", "start")).alias("first")).where("n > 1")
     recurring = cut_lineage(
-        found.join(counted.select(*hashes, "first"), hashes).select(
+        found.join(counted.select(*hashes, "first"), hashes)
+        .where("n > 1 OR struct(seq, start) <> first")  # a block that holds the first occurrence alone loses nothing by it
+        .select(
             "block", F.col("seq").alias("at_seq"), F.col("start").alias("at_start"), F.col("first.seq").alias("first_seq"), F.col("first.start").alias("first_start")
         ),
         "recurring",
