@@ -48,20 +48,32 @@ def fato_vendas(orders_enriched: DataFrame, items_enriched: DataFrame, reviews:
 
 
 def gmv_categoria_estado(orders_enriched: DataFrame, items_enriched: DataFrame) -> DataFrame:
-    """Sales, orders, lines and mean line value per day, category and buyer state."""
+    """Sales, orders, lines and mean line value per day, category and buyer state.
+
+    An order is counted where the first of its lines in a category meets the first of its rows with a day and state, in the
+    order that the join sorts by anyhow, so no task holds a hash table with an entry for each order.
+    """
     sold = orders_enriched.where(F.col("order_status").isin(fixed.SALE_STATUSES)).select(
         "order_id", "customer_state", F.to_date("order_purchase_timestamp").alias("data_venda")
     )
     lines = items_enriched.select("order_id", "product_category", "total_item_value")
-    grouped = lines.join(sold, "order_id").groupBy("data_venda", "product_category", "customer_state")
-    return grouped.agg(
+    joined = _first_marked(lines, ["product_category"], "_line").join(
+        _first_marked(sold, ["customer_state", "data_venda"], "_order"), "order_id"
+    )
+    return joined.groupBy("data_venda", "product_category", "customer_state").agg(
         F.sum("total_item_value").cast("decimal(22,2)").alias("gmv"),
-        F.count_distinct("order_id").alias("total_pedidos"),
+        S.count_where(F.col("_line") & F.col("_order")).alias("total_pedidos"),
         F.count(F.lit(1)).alias("volume"),
         S.mean_of("total_item_value", 2).alias("ticket_medio"),
     )
 
 
+def _first_marked(df: DataFrame, columns: Sequence[str], mark: str) -> DataFrame:
+    """Rows that have an order, one of those alike in order and ``columns`` marked."""
+    alike = Window.partitionBy("order_id").orderBy(*columns)
+    return df.where("order_id IS NOT NULL").withColumn(mark, F.rank().over(alike) == F.row_number().over(alike))
+
+
 def serie_horaria(orders: DataFrame, holidays: Sequence[date] = ()) -> DataFrame:
     """Orders per hour from the first to the last day, hours without orders included, with calendar marks.
 
