@@ -134,6 +134,22 @@ def test_layout_jobs(spark, tmp_path):
     assert files_hit(clustered) <= 4 < files_hit(plain)
 
 
+def test_compact_deals_rows_in_small_parts(spark, tmp_path, monkeypatch, rows_of):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    dealt, usual = [], DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda df, n, *columns: dealt.append(n) or usual(df, n, *columns))
+    df = spark.range(6000).select("id", F.lit("x").alias("_file"), F.when(F.col("id") > 9, F.col("id")).alias("n"))
+    path = str(tmp_path / "c")
+    versions.compact(df, path, 3)
+    assert min(dealt) >= 3 * 8  # no task is dealt a whole file
+    files = spark.read.parquet(path).groupBy("_metadata.file_path").count().collect()
+    assert len(files) == 3 and all(1800 < f["count"] < 2200 for f in files)
+    assert rows_of(spark.read.parquet(path)) == rows_of(df)
+    versions.compact(df.where("false"), path, 3)
+    assert spark.read.schema(df.schema).parquet(path).count() == 0
+
+
 def test_effective_dated_join_edges(frame, rows_of):
     from datetime import date
 

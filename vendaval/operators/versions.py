@@ -8,11 +8,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import remove, scratch_path, setting
 from .windows import dedupe_latest
 
 
@@ -134,9 +136,27 @@ def label_versions(versions: Mapping[str, DataFrame]) -> DataFrame:
 
 # ---- layout ---------------------------------------------------------------------------------------------------------
 
+#: Even parts of a file that are written first.
+PARTS = 16
+
+
 def compact(df: DataFrame, path: str, files: int) -> None:
-    """Rewrite into about ``files`` files of even size, by round robin, so no key can make a large one."""
-    df.repartition(files).write.mode("overwrite").parquet(path)
+    """Rewrite into about ``files`` files of even size, by round robin, so no key can make a large one.
+
+    Rows are dealt to PARTS parts a file, written to the shared folder; a task then reads the parts of its file, which are
+    encoded and compressed, instead of a file's worth of shuffled rows. Runs two jobs.
+    """
+    spark, number = df.sparkSession, "_file"
+    while number in {c.lower() for c in df.columns}:
+        number += "_"
+    dealt = df.repartition(files * PARTS).withColumn(number, F.pmod(F.spark_partition_id(), F.lit(files)))
+    parts = scratch_path(spark, "parts")
+    dealt.write.partitionBy(number).option("compression", "zstd").parquet(parts)
+    read = spark.read.schema(dealt.schema).parquet(parts)
+    whole = [read.where(F.col(number) == i).drop(number).coalesce(1) for i in range(files)]
+    with setting(spark, "spark.sql.unionOutputPartitioning", "false"):  # else a union of single partitions is a single partition
+        reduce(DataFrame.unionAll, whole).write.mode("overwrite").parquet(path)
+    remove(spark, parts)
 
 
 def _interleaved(buckets: Sequence[Column], bits: int) -> Column:

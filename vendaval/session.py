@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +63,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the time of a block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write the rows once to the shared folder and read them back.
 
@@ -69,15 +85,8 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with setting(spark, SHUFFLE_CLEANUP, "true"):
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
     written = spark.read.schema(df.schema).parquet(path)
     written._scratch = path
     return written
@@ -85,6 +94,10 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
 
 def release(written: DataFrame) -> None:
     """Remove the files of a result of ``cut_lineage`` that nothing will read again: no lazy DataFrame may still depend on it."""
-    jvm = written.sparkSession.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(written._scratch)
-    path.getFileSystem(written.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove(written.sparkSession, written._scratch)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a path under the shared folder."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
