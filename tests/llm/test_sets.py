@@ -263,3 +263,13 @@ def test_pipeline_stages_on_odd_rows(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, helpers.SMALL).count() == 2
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.where("false"), helpers.SMALL).count() == 0
+
+
+def test_components_are_made_again_only_when_links_were_found(spark, monkeypatch):
+    made, usual = [], neardup.components
+    monkeypatch.setattr(neardup, "components", lambda *links: made.append(1) or usual(*links))
+    common = " ".join(f"w{i}" for i in range(200))
+    rows = [(i, common + "".join(f" o{i}x{k}" for k in range(30))) for i in range(12)]  # alike, below the threshold
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.component_id for r in neardup.near_duplicates(df, 3, 85).collect()) == list(range(12))
+    assert len(made) == 1

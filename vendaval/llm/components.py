@@ -35,12 +35,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     stars = cut_lineage(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), (F.col(a).isNotNull() & F.col(b).isNotNull()).alias("both"))
-        .where("both AND u <> v").select("u", "v").distinct(),
+        .where("both AND u <> v").select("u", "v"),
         "links",
     )
     while True:
-        stars = cut_lineage(_small_star(_large_star(stars).distinct()), "stars")
-        inner = stars.join(stars.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
+        stars = cut_lineage(_small_star(_large_star(stars)), "stars")
+        inner = stars.join(stars.select(F.col("u").alias("v")), "v", "left_semi")
         if inner.isEmpty():  # no vertex that is pointed at points on: every link leads to its root
             roots = stars.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
             return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
