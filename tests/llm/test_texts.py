@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from vendaval.llm import bpe, language, quality, tokenfiles
 from vendaval.llm.queries import END_OF_TEXT, VOCABULARY
+from vendaval.session import cut_lineage
 
 from .helpers import SMALL, quality as plain_quality
 
@@ -56,6 +58,32 @@ def test_full_memory_changes_nothing(monkeypatch):
         assert small.encode_batch([text.encode()])[0][0].tolist() == large.encode(text).ids
 
 
+def test_a_task_encodes_two_megabytes_at_once():
+    class Recorder:
+        sizes: list[int] = []
+
+        def encode_batch(self, texts):
+            self.sizes.append(sum(map(len, texts)))
+            return [(np.zeros(0, "i4"), t) for t in texts]
+
+    texts = [None, *["x" * 300_000] * 20, "y" * 3_000_000, ""]
+    got = [t for _, done in bpe.coded(Recorder(), [pa.RecordBatch.from_pydict({"text": texts})], "text") for _, t in done]
+    assert got == [(t or "").encode() for t in texts]
+    assert sorted(Recorder.sizes)[-2] <= 2 << 20 and max(Recorder.sizes) == 3_000_000
+
+
+def test_cut_lineage_sends_small_batches_to_python(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "size": [b.nbytes]})
+
+    wide = spark.range(0, 80, 1, 1).select(F.repeat(F.lit("x"), 500_000).alias("text"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    found = cut_lineage(wide.mapInArrow(sizes, "rows long, size long")).collect()
+    assert sum(r["rows"] for r in found) == 80 and max(r["size"] for r in found) < 10_000_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
 @pytest.mark.parametrize("block", [1, 3, 64])
 def test_separator_scan(spark, block):
     rng = np.random.default_rng(block)

@@ -29,6 +29,8 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 REMEMBERED = 300_000
 #: Chunks merged in one index; bounds memory. Results do not depend on it.
 INDEXED = 150_000
+#: Text bytes encoded at once in a task; bounds memory. Results do not depend on it.
+ENCODED_BYTES = 2 << 20
 
 
 def _printable_bytes() -> dict[str, int]:
@@ -212,6 +214,12 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def coded(own: Codec, batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[tuple[np.ndarray, bytes]]]]:
+    """Slices of the batches, each with its ids and what they decode to. A task holds those of ENCODED_BYTES of text at a time."""
+    for batch in slices(batches, text, ENCODED_BYTES):
+        yield batch, own.encode_batch([t or b"" for t in byte_texts(batch, text)])
+
+
 def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """All columns of ``df`` and ``ids`` array<int>, ``decoded`` string: the text's ids and what these ids decode to.
 
@@ -223,9 +231,7 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     keep = base.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path)
-        for batch in slices(batches, text):
-            done = own.encode_batch([t or b"" for t in byte_texts(batch, text)])
+        for batch, done in coded(codec(path), batches, text):
             lengths = np.array([len(ids) for ids, _ in done], "i4")
             ids = np.concatenate([ids for ids, _ in done])
             back = pa.array([b.decode("utf-8", "replace") for _, b in done], pa.string())

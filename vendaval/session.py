@@ -41,6 +41,10 @@ def build_session(app: str = "vendaval", cores: str = "*", shuffle_partitions: i
 #: Spark removes the shuffle files of a query when it has ended.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Most bytes that a task sends to Python at once. Spark's own bound of 64 MB counts several times: in Java while a batch grows, and
+#: in Python. Results do not depend on it.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
@@ -81,11 +85,11 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write the rows once to the shared folder and read them back.
 
     Later passes then see the same rows even when an executor is lost between them. What the job shuffled goes with its end,
-    for nothing reads it any more. Runs one job.
+    for nothing reads it any more. Python functions in it get batches of BATCH_BYTES at most, or one row. Runs one job.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    with setting(spark, SHUFFLE_CLEANUP, "true"):
+    with setting(spark, SHUFFLE_CLEANUP, "true"), setting(spark, *BATCH_BYTES):
         df.write.parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
     written._scratch = path
