@@ -9,6 +9,7 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -157,6 +158,18 @@ def test_lm_cells_are_a_distribution():
     assert abs(total - 1) < 1e-4
 
 
+@pytest.mark.parametrize("width", [lm.CLASSES, lm.WIDTH])
+def test_softmax_runs_along_rows_with_the_same_bits(width):
+    rng = np.random.default_rng(width)
+    table, rows = rng.normal(0, 3, (50, width)).astype("f4"), [rng.integers(0, 50, 700) for _ in range(3)]
+    z = table[rows[0]] + table[rows[1]] + table[rows[2]]
+    z -= z.max(1, keepdims=True)
+    want = z - np.log(np.exp(z).sum(1, keepdims=True))
+    got, target = lm._log_softmax(table, rows), rng.integers(0, width, 700)
+    assert got.shape == (width, 700) and got.flags.c_contiguous and np.array_equal(got, want.T)
+    assert np.array_equal(lm._log_softmax_at(table, rows, target), want[np.arange(700), target])
+
+
 def test_nearest_recall_and_ties(spark):
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(3000, 16)).astype("f4")

@@ -109,26 +109,37 @@ def _features(one: np.ndarray, two: np.ndarray, klass: np.ndarray) -> tuple[list
     return outer, inner
 
 
+def _added(columns: np.ndarray) -> np.ndarray:
+    """Sum over the rows of (CLASSES or WIDTH, n): as ``sum(1)`` adds up the transposed array, to the last bit, but by whole rows."""
+    eight = columns[:8] + columns[8:16]
+    for first in range(16, len(columns), 8):
+        eight += columns[first : first + 8]
+    four = eight[0::2] + eight[1::2]
+    two = four[0::2] + four[1::2]
+    return two[0] + two[1]
+
+
 def _logits(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    """Sums of the active rows, less their greatest."""
+    """Sums of the active rows, less their greatest; a column for each token, so that every later step runs along whole rows."""
     z = table.take(rows[0], 0)
     for r in rows[1:]:
         z += table.take(r, 0)
-    z -= z.max(1, keepdims=True)
+    z = np.ascontiguousarray(z.T)
+    z -= z.max(0)
     return z
 
 
 def _log_softmax(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
     z = _logits(table, rows)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
+    z -= np.log(_added(np.exp(z)))
     return z
 
 
 def _log_softmax_at(table: np.ndarray, rows: list[np.ndarray], target: np.ndarray) -> np.ndarray:
-    """``_log_softmax`` of one column a row, without the others."""
+    """``_log_softmax`` of one row a token, without the others."""
     z = _logits(table, rows)
-    found = z[np.arange(len(z)), target]
-    return found - np.log(np.exp(z, out=z).sum(1))
+    found = z[target, np.arange(z.shape[1])]
+    return found - np.log(_added(np.exp(z, out=z)))
 
 
 def cell_log10(tables: tuple[np.ndarray, np.ndarray], cells: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -148,21 +159,24 @@ def learn(own: Weights, cells: np.ndarray, starts: np.ndarray) -> None:
     one, two = _histories(cells, starts)
     for s in range(0, len(cells), BATCH):
         here = cells[s : s + BATCH]
-        klass, row = here // WIDTH, np.arange(len(here))
+        klass, token = here // WIDTH, np.arange(len(here))
         kinds = _features(one[s : s + BATCH], two[s : s + BATCH], klass)
         for k, target in ((0, klass), (1, here % WIDTH)):
             error = _log_softmax(own.tables[k], kinds[k])
             np.exp(error, out=error)
-            error[row, target] -= 1
+            error[target, token] -= 1
             rows = np.concatenate(kinds[k])
             marked = np.bincount(rows, minlength=ROWS[k])
             at = np.flatnonzero(marked)
             dense = np.empty(ROWS[k], "i8")
             dense[at] = np.arange(len(at))
-            place, columns = dense[rows], np.ascontiguousarray(error.T)
-            slope = np.stack([np.bincount(place, np.tile(c, len(kinds[k])), len(at)) for c in columns], 1).astype("f4")
-            own.squares[k][at] += (slope * slope).mean(1)
-            own.tables[k][at] -= STEP * slope / np.sqrt(own.squares[k][at] + 1)[:, None]
+            place, each = dense[rows], np.empty((len(kinds[k]), len(here)))
+            slope = np.empty((len(error), len(at)), "f4")
+            for c, column in enumerate(error):
+                each[:] = column
+                slope[c] = np.bincount(place, each.ravel(), len(at))
+            own.squares[k][at] += _added(slope * slope) / len(slope)
+            own.tables[k][at] -= (STEP * slope / np.sqrt(own.squares[k][at] + 1)).T
             own.seen[k][at] += marked[at]
 
 
@@ -305,9 +319,8 @@ def scores(df: DataFrame, use: Column, key: str = "doc_id", text: str = "text")
     tables = docs.sparkSession.sparkContext.broadcast(_train(docs, head))
 
     def score(texts: pd.DataFrame, dictionary: pd.DataFrame) -> pd.DataFrame:
-        known = dictionary.drop_duplicates("word")
-        words, c = known["word"].tolist(), known["c"].to_numpy("f8")
-        index = {w: i for i, w in enumerate(words)}
+        words, c = dictionary["word"].tolist(), dictionary["c"].to_numpy("f8")
+        index = {w: i for i, w in enumerate(words)}  # rows that repeat a word have the same count
         cells = Cells(head)
         cell = np.fromiter(map(cells.__getitem__, words), "i8", len(words))
         with np.errstate(divide="ignore", invalid="ignore"):
